@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, url_filter
+from . import exact_dedup, near_dedup, packing, url_filter
 from .common import table
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -24,7 +28,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_best_fit_packing, op8_url_filter, op10_exact_dedup)}
+    return {f.__name__: f for f in (op2_minhash_near_dedup, op7_best_fit_packing, op8_url_filter, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
