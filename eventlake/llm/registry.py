@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, url_filter
+from . import exact_dedup, fingerprint, license_scan, near_dedup, packing, url_filter
 from .common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -23,12 +27,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_minhash_near_dedup, op7_best_fit_packing, op8_url_filter, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op7_best_fit_packing, op8_url_filter, op9_merkle_fingerprint, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
