@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,5 +63,12 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What make() gives, made once in a Python worker and kept for its later tasks.
+
+    Functions come to a worker by value, so their own globals are new in each task; this is kept in a module instead.
+    """
+    state = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]

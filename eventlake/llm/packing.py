@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import per_process, written
 
 CAPACITY = 4096
 #: Lengths are rounded up to this many steps for the patterns, and a pattern has so many documents at most.
 STEPS, FEW = 64, 3
-#: Pieces of one length that one task ranks.
-RANKED_AT_ONCE = 200_000
+#: Pieces of one length that one task ranks: so many, or all divided by SHARES if that is more.
+RANKED_AT_ONCE, SHARES = 500, 200_000
 #: Words whose ids a worker keeps; beyond that it forgets the older half.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 #: Texts that a worker splits into words together.
 TEXTS_AT_ONCE = 256
 #: Words that one call of the tokenizer joins.
@@ -81,7 +81,7 @@ class WordIds:
 
 def _tokenised(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(path), np.array([END_ID], "<u4").tobytes()
+        words, end = per_process(("words", path), lambda: WordIds(path)), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             texts = [x or "" for x in batch.column(1).to_pylist()]
@@ -275,18 +275,19 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     cut = written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # capacity rows at most
     runs, _ = plan(histogram, capacity)
-    salts = [max(1, -(-histogram.get(n, 0) // RANKED_AT_ONCE)) for n in range(capacity + 1)]
+    at_once = max(RANKED_AT_ONCE, sum(histogram.values()) // SHARES)
+    salts = [max(1, -(-histogram.get(n, 0) // at_once)) for n in range(capacity + 1)]
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.element_at(F.array(*map(F.lit, salts)), F.col("length").cast("int") + 1)) if max(salts) > 1 else F.lit(0)
     cut = cut.withColumn("_salt", salt.cast("int"))
     if max(salts) > 1:
-        counts = sorted((r["length"], r["_salt"], r["count"]) for r in cut.groupBy("length", "_salt").count().collect())  # capacity + rows / RANKED_AT_ONCE
+        counts = sorted((r["length"], r["_salt"], r["count"]) for r in cut.groupBy("length", "_salt").count().collect())  # capacity + SHARES rows at most
         base, last = [], (None, 0)
         for n, s, c in counts:
             before = last[1] if last[0] == n else 0
             base.append((n, s, before))
             last = (n, before + c)
         first = docs.sparkSession.createDataFrame(base or [(0, 0, 0)], "length long, _salt int, _first long")
-        cut = cut.join(F.broadcast(first) if len(base) < 1_000_000 else first, ["length", "_salt"])
+        cut = cut.join(F.broadcast(first), ["length", "_salt"])
     else:
         cut = cut.withColumn("_first", F.lit(0).cast("long"))
     order = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
