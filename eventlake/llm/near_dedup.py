@@ -5,10 +5,14 @@
    registers along with a uniform value for each rank; ranks are done one after another for all elements of a batch, and a
    document stops as soon as every register has a value, since later ranks can't lower one.
 2. Documents with equal sets are one class. Only classes go on, so copies never meet in a bucket.
-3. Classes that share a band key are a bucket. Each member is verified against the bucket's smallest member (one row
-   a member, never all pairs). Links found so are grouped into components.
-4. A bucket whose other members still lie in several components is finished exactly: its members are dealt into blocks,
-   and members of different components are compared block against block, each on its full set.
+3. Classes that share a band key are a bucket. Each member is verified against the bucket's hub, a member picked by a hash
+   (one row a member, never all pairs). Links found so are grouped into components.
+4. A bucket whose other members still lie in several components goes on. Jaccard distance is a metric, so two
+   members can be linked only if their distances from the hub, known from step 3, differ by the threshold's distance at
+   most: members are cut into windows of that distance. From windows that hold several components, members go that have so
+   many shingles which no other such member has that they can't be similar enough to any. The rest meet
+   another hub, HUBS times at most. What is still torn then is finished exactly: its members are dealt
+   into blocks, and those of different components are compared block against block, each on its full set.
 5. Components of all links give each document's smallest reachable id.
 
 With `bands` bands of `ROWS` rows, a pair at the threshold shares no band with a probability of MISS at most;
@@ -35,7 +39,9 @@ ROWS, MISS = 4, 1e-6
 #: Bytes of text that a worker turns into signatures at once.
 TEXT_AT_ONCE = 1 << 21
 #: Members in a block of the exact comparison.
-BLOCK = 64
+BLOCK = 256
+#: Further hubs that the members of a torn bucket meet before blocks do.
+HUBS = 1
 #: Ids up to which the documents to verify are picked by a broadcast join; beyond that by a shuffled one.
 BROADCAST_IDS = 1_000_000
 
@@ -174,52 +180,84 @@ def _full_sets(words: int):
     return run
 
 
-def linked(common: int, n: int, m: int, percent: int) -> bool:
-    return 100 * common >= percent * (n + m - common)
-
-
 def _block_links(percent: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         """Links between members of different labels; a pair whose labels have met in this block is skipped."""
-        rows = sorted(zip(block["shingles"], block["set_id"], block["label"], block["side"], strict=True), key=lambda x: len(x[0]))
-        at: dict = {}
+        block = block.loc[block["shingles"].map(len).sort_values(kind="stable").index]
+        sets, ids, labels, sides = list(block["shingles"]), list(block["set_id"]), list(block["label"]), list(block["side"])
+        sizes = np.array([len(x) for x in sets])
+        starts = np.cumsum(sizes) - sizes
+        known, at = np.unique(np.concatenate(sets), return_inverse=True)
+        has = np.zeros(len(known), bool)
+        across = block["kind"].iat[0] == 0
+        up: dict = {}
 
         def root(x):
-            while at.get(x, x) != x:
-                x = at[x]
+            while up.get(x, x) != x:
+                x = up[x]
             return x
 
         found = []
-        for i, (big, a, la, sa) in enumerate(rows):
-            for small, b, lb, sb in reversed(rows[:i]):
-                if 100 * len(small) < percent * len(big):
-                    break
-                if la == lb or (sa == sb and block["kind"].iat[0] == 0) or root(la) == root(lb):
-                    continue
-                common = len(np.intersect1d(big, small, assume_unique=True))
-                if linked(common, len(big), len(small), percent):
-                    found.append((a, b))
-                    at[root(la)] = root(lb)
+        for i in range(1, len(sets)):
+            first = int(np.searchsorted(100 * sizes[:i], percent * sizes[i]))
+            if first == i:
+                continue
+            mine = at[starts[i] : starts[i] + sizes[i]]
+            has[mine] = True
+            common = np.add.reduceat(has[at[starts[first] : starts[i]]].astype(np.int64), starts[first:i] - starts[first])
+            has[mine] = False
+            for j in np.flatnonzero(100 * common >= percent * (sizes[i] + sizes[first:i] - common)) + first:
+                if labels[i] != labels[j] and not (across and sides[i] == sides[j]) and root(labels[i]) != root(labels[j]):
+                    found.append((ids[i], ids[j]))
+                    up[root(labels[i])] = root(labels[j])
         return pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their full sets' intersection and union."""
     left = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("_x")), "a")
     both = left.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("_y")), "b")
-    common, n, m = F.size(F.array_intersect("_x", "_y")), F.size("_x"), F.size("_y")
-    return both.where(100 * common >= percent * (n + m - common)).select("a", "b")
+    found = both.select("a", "b", F.size(F.array_intersect("_x", "_y")).alias("common"), (F.size("_x") + F.size("_y")).alias("_sum"))
+    return found.select("a", "b", "common", (F.col("_sum") - F.col("common")).alias("either"))
 
 
-def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members (key, set_id, hub) of a bucket that labels (node, root) still part; pairs with the hub are known."""
-    part = members.where(F.col("set_id") != F.col("hub")).join(labels, members["set_id"] == labels["node"], "left")
-    part = part.select("key", "set_id", F.coalesce("root", "set_id").alias("label"))
+def _torn(windows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, set_id, label) of the windows (key, set_id) that labels (node, root) still part; the same members in several bands: once."""
+    part = windows.join(labels, F.col("set_id") == F.col("node"), "left").select("key", "set_id", F.coalesce("root", "set_id").alias("label"))
     torn = part.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("_seal"), F.count("*").alias("_n")).where(F.col("_lo") < F.col("_hi"))
-    once = torn.groupBy("_seal", "_n").agg(F.min("key").alias("key")).select("key")  # the same members in several bands: once
-    part = written(part.join(once, "key"), "torn")
+    once = torn.groupBy("_seal", "_n").agg(F.min("key").alias("key")).select("key")
+    return written(part.join(written(once, "once"), "key"), "torn")
+
+
+def _windows(members: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
+    """(key, set_id): members (key, set_id, hub) but the hub, twice each, in windows of the threshold's distance from the hub."""
+    part = members.join(measured, (F.col("set_id") == F.col("a")) & (F.col("hub") == F.col("b")))
+    wide = 100 - percent  # a window's width, as hundredths of the distance (either - common) / either
+    window = F.floor((F.col("either") - F.col("common")) * 100 / (F.col("either") * wide)) if wide else F.lit(0)
+    return part.select("key", "set_id", F.explode(F.array(window, window - 1)).alias("_window")).select(F.xxhash64("key", "_window").alias("key"), "set_id")
+
+
+def _linkable(windows: DataFrame, torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The windows' rows whose sets can be similar enough to another in the torn ones: x shares at most its shingles that others have."""
+    there = sets.join(written(torn.select("set_id").distinct(), "there"), "set_id")
+    shared = there.select("set_id", F.explode("shingles").alias("_x")).groupBy("_x").agg(F.count("*").alias("_n"), F.min("set_id").alias("set_id"))
+    alone = shared.where("_n = 1").groupBy("set_id").agg(F.count("*").alias("_alone"))
+    sizes = there.select("set_id", F.size("shingles").alias("_size")).join(alone, "set_id", "left")
+    able = written(sizes.where(100 * (F.col("_size") - F.coalesce("_alone", F.lit(0))) >= percent * F.col("_size")).select("set_id"), "able")
+    return written(windows.join(able, "set_id", "left_semi"), "windows")
+
+
+def _hub_pairs(torn: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each member with one of its window's, where their labels differ."""
+    member = F.struct(F.xxhash64("set_id", "key", F.lit(turn)).alias("_rank"), "set_id", "label")
+    hubs = written(torn.groupBy("key").agg(F.min(member).alias("_hub")).select("key", F.col("_hub.set_id").alias("b"), F.col("_hub.label").alias("_label")), "hubs")
+    return torn.join(hubs, "key").where(F.col("label") != F.col("_label")).select(F.col("set_id").alias("a"), "b").distinct()
+
+
+def _block_pairs(part: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members (key, set_id, label) of one key with different labels."""
     sizes = part.groupBy("key", "label").agg(F.count("*").alias("_c"))
     whole = written(sizes.groupBy("key").agg(F.max(F.struct("_c", "label")).alias("_most"), F.sum("_c").alias("_all")).select("key", F.col("_most.label").alias("_main"), F.ceil(F.col("_most._c") / BLOCK).alias("_bm"), F.ceil((F.col("_all") - F.col("_most._c")) / BLOCK).alias("_bo")), "buckets")
     dealt = part.join(whole, "key").withColumn("side", (F.col("label") != F.col("_main")).cast("int"))
@@ -247,22 +285,33 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     signed = written(source.mapInArrow(_signed(words, bands, ROWS), f"doc_id {kind}, n long, set_id binary, keys array<long>"), "signed")
     classes = written(signed.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("keys").alias("keys")), "classes")
 
-    members = classes.select("set_id", "n", F.explode("keys").alias("key"))
-    hubs = members.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("lo"), F.max("set_id").alias("hi")).where(F.col("lo.set_id") < F.col("hi"))
-    members = written(members.join(written(hubs.select("key", F.col("lo.set_id").alias("hub"), F.col("lo.n").alias("hub_n")), "hubs"), "key"), "members")
+    members = classes.select("set_id", F.explode("keys").alias("key"))
+    member = F.struct(F.xxhash64("set_id", "key").alias("_rank"), "set_id")
+    hubs = members.groupBy("key").agg(F.min(member).alias("_hub"), F.max(member).alias("_last")).where(F.col("_hub") < F.col("_last"))
+    members = written(members.join(written(hubs.select("key", F.col("_hub.set_id").alias("hub")), "hubs"), "key"), "members")
 
-    near = (F.col("set_id") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-    pairs = written(members.where(near).select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    pairs = written(members.where(F.col("set_id") != F.col("hub")).select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
     wanted = written(members.select("set_id").distinct().join(classes.select("set_id", "first_id"), "set_id").select("first_id").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     chosen = source.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     sets = written(chosen.select("text").mapInArrow(_full_sets(words), "set_id binary, shingles array<long>").dropDuplicates(["set_id"]), "sets")
 
-    links = written(_verified(pairs, sets, percent), "verified")
+    measured = written(_measured(pairs, sets), "measured")
+    similar = lambda found: found.where(100 * F.col("common") >= percent * F.col("either")).select("a", "b")
+    links = similar(measured)
     labels = components(links)
-    more = written(_rest(members, labels, sets, percent), "rest")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    windows = written(_windows(members, measured, percent), "windows")
+    torn = _torn(windows, labels)
+    if not torn.isEmpty():
+        windows = _linkable(windows, torn, sets, percent)
+    for turn in range(HUBS + 1):
+        torn = _torn(windows, labels)
+        if torn.isEmpty():
+            break
+        more = written(similar(_measured(_hub_pairs(torn, turn), sets)) if turn < HUBS else _block_pairs(torn, sets, percent), "more")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
     remove(sets)
     remove(members)
 
