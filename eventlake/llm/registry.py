@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, license_scan, lm_score, near_dedup, packing, toxicity, url_filter
+from . import exact_dedup, fingerprint, html_extract, license_scan, lm_score, near_dedup, packing, toxicity, url_filter
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -44,7 +48,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op4_lm_score, op5_toxicity, op7_best_fit_packing, op8_url_filter, op9_merkle_fingerprint, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op4_lm_score, op5_toxicity, op6_html_extract, op7_best_fit_packing, op8_url_filter, op9_merkle_fingerprint, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
