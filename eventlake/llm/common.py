@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import sys
 import tempfile
@@ -72,3 +73,9 @@ def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in state:
         state[key] = make()
     return state[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished jobs that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -321,3 +321,15 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     whole = signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return whole.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, all their columns: of each component the smallest id's, and rows without shingles.
+
+    Rows with one id and different texts are told apart, by a hash of the text; rows that repeat both stay or go together.
+    """
+    mark = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text"))
+    found = near_dedup(docs.select(mark.alias("id"), F.col(text_col).alias("text")), words, percent, "id", "text")
+    gone = written(found.where(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, mark.eqNullSafe(F.col("_gone")), "left_anti")

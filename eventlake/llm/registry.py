@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, html_extract, license_scan, lm_score, near_dedup, packing, toxicity, url_filter
+from . import exact_dedup, fingerprint, html_extract, license_scan, lm_score, near_dedup, packing, subwords, toxicity, url_filter
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subwords.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -48,7 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op4_lm_score, op5_toxicity, op6_html_extract, op7_best_fit_packing, op8_url_filter, op9_merkle_fingerprint, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op3_sentencepiece, op4_lm_score, op5_toxicity, op6_html_extract, op7_best_fit_packing, op8_url_filter, op9_merkle_fingerprint, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
