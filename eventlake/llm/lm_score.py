@@ -179,8 +179,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if train:
                 counts.update(words)
             else:
-                for word in set(words).difference(counts):
-                    counts[word] = 0
+                for word in set(words):
+                    if word not in counts:
+                        counts[word] = 0
             if len(counts) > COUNTED_AT_ONCE:
                 yield out()
                 counts.clear()
