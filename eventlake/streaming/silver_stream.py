@@ -19,7 +19,7 @@ from ..operators.silver import transform_hours
 
 def start(spark: SparkSession, cfg: Config, checkpoint: str, available_now: bool = True, files_at_once: int = 64) -> StreamingQuery:
     """Follows bronze; with available_now the query ends when it has caught up. The stream itself reads file names only."""
-    files = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_at_once).option("pathGlobFilter", "events.json.gz").load(f"{cfg.bronze}/date=*/hour=*")
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("maxFilesPerTrigger", files_at_once).option("pathGlobFilter", "events.json.gz").load(f"{cfg.bronze}/date=*/hour=*")
     named = files.select(F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})/hour=(\d{2})/", 1).alias("date"), F.regexp_extract("path", r"hour=(\d{2})/", 1).alias("hour"))
 
     def rebuild(batch: DataFrame, _: int) -> None:

@@ -1,0 +1,82 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from lake import HOUR, frame, row, silver
+
+from eventlake.operators import gold
+from eventlake.plans import serving
+from eventlake.plans.operations import record
+from eventlake.sources import tables
+
+
+@pytest.fixture
+def served(spark, cfg):
+    next_day = HOUR + timedelta(days=1)
+    silver(spark, cfg, [row("1"), row("2", actor_login="bob"), row("3", actor_login="ci[bot]"), row("4", type="WatchEvent"), row("5", repo_name="c/d")])
+    silver(spark, cfg, [row("6", next_day)], next_day)
+    gold.build_gold(spark, cfg)
+    return serving.Serving(spark, cfg)
+
+
+def test_summary(served):
+    s = served.summary()
+    assert (s["total_events"], s["days"], s["distinct_repos"], s["events_per_day"]) == (6, 2, 2, 3.0)
+    assert s["bot_share"] == pytest.approx(1 / 6)
+    assert (s["first_day"], s["last_day"]) == (date(2024, 3, 5), date(2024, 3, 6))
+
+
+def test_summary_of_nothing(spark):
+    none = gold.events(frame(spark, []))
+    s = serving.summary(gold.event_type_daily(none), gold.repo_activity_daily(none)).first()
+    assert (s.total_events, s.bot_share, s.days, s.events_per_day, s.distinct_repos) == (0, 0.0, 0, 0.0, 0)
+
+
+def test_types_after_the_first_are_other(served):
+    assert served.type_order(1) == ["PushEvent", "Other"]
+    got = [(str(r.event_date), r.type, r.events) for r in served.daily_type_mix(1).collect()]
+    assert got == [("2024-03-05", "PushEvent", 4), ("2024-03-05", "Other", 1), ("2024-03-06", "PushEvent", 1)]
+
+
+def test_top_repos_need_two_humans(served):
+    assert [tuple(r) for r in served.top_repos().collect()] == [("a/b", 3, 4, 2)]
+
+
+def test_hours_and_first_scored_day(served):
+    assert [r.events for r in served.hourly_volume().collect()] == [5, 1]
+    assert served.trending_first_scored_date() == date(2024, 3, 12)
+    assert served.trending().count() == 0
+    assert served.pr_daily().count() == 0
+
+
+def test_ties_go_by_name(spark):
+    types = spark.createDataFrame([(HOUR.date(), t, 5, 1, 4) for t in "cab"], "event_date date, type string, events long, bot_events long, human_events long")
+    assert serving.type_order(types, 2) == ["a", "b", "Other"]
+    assert [r["actor"] for r in serving.by_actor_kind(types).where("type = 'a'").orderBy("actor").collect()] == ["bot", "human"]
+
+
+def test_metrics(spark, cfg):
+    s = serving.Serving(spark, cfg)
+    assert s.throughput_summary() is None
+    assert s.run_metrics().count() == 0
+    path = record(spark, cfg, "ingest", HOUR, bytes_downloaded=20_000_000, duration_seconds=15.0, skipped=False)
+    assert path.endswith("metrics/date=2024-03-05/ingest_hour=15.json")
+    record(spark, cfg, "transform", HOUR, rows_in=1, rows_out=1, duration_seconds=9.0)
+    record(spark, cfg, "transform", HOUR, rows_in=160_000, rows_out=159_000, duration_seconds=2.0)
+    record(spark, cfg, "transform", HOUR + timedelta(hours=1), rows_in=5, rows_out=5, duration_seconds=0.0)
+    record(spark, cfg, "quality_gate", HOUR, rows=9, soft_warnings=0)
+    record(spark, cfg, "build_gold", HOUR, duration_seconds=1.0)
+    got = s.throughput_summary()
+    assert (got["transform_runs"], got["median_events_per_sec"], got["median_transform_seconds"], got["gb_ingested"], got["download_runs"]) == (2, 80_000.0, 1.0, 0.02, 1)
+    assert [r.kind for r in s.run_metrics().collect()] == ["ingest", "quality_gate", "transform", "transform"]
+
+
+def test_snapshot(spark, cfg, served):
+    s = served.ops_snapshot(datetime(2024, 3, 6, 18))
+    assert (s["bronze_partitions"], s["silver_partitions"], s["latest_hour"], s["freshness_hours"]) == (0, 2, HOUR + timedelta(days=1), 2.0)
+    assert set(s["gold_mb"]) == {"event_type_daily", "repo_activity_daily", "trending_repos", "pr_stats_daily"}
+
+
+def test_leftovers_of_a_crash_are_passed_over(spark, cfg, served):
+    frame(spark, [row("9")]).write.parquet(f"{cfg.silver}/date=2024-03-05/.hour=15-crashed")
+    assert tables.silver(spark, cfg).count() == 6
+    assert served.ops_snapshot(HOUR)["silver_partitions"] == 2
