@@ -264,11 +264,13 @@ def fit(toxic: list[str], clean: list[str], prior: float = 0.0) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 0) -> Model:
     """Learns from labelled rows whose fold is not `held_out`. Null labels and ids are left out; of several labels of an id the largest counts."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != held_out)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
+    told = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != held_out)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    known = told.groupBy("_id").agg(F.max("_label").alias("_label"))
     sizes = {r["_label"]: r["count"] for r in known.groupBy((F.col("_label") > 0).cast("int").alias("_label")).count().collect()}
     parts = [known.where((F.col("_label") > 0) == F.lit(bool(x))).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE) for x in (1, 0)]
     chosen = parts[0].union(parts[1])  # 2 x SAMPLE ids at most
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == F.col("_id")).select(F.col(text_col).alias("text"), "_label").where("text is not null").collect()
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).where("text is not null")
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "_label").collect()
     toxic, clean = [r["text"] for r in rows if r["_label"] > 0], [r["text"] for r in rows if not r["_label"] > 0]
     prior = math.log(max(1, len(toxic)) / max(1, len(clean))) - math.log(max(1, sizes.get(1, 0)) / max(1, sizes.get(0, 0)))
     return fit(toxic, clean, prior)

@@ -1,0 +1,97 @@
+import os
+import zlib
+
+import pytest
+from corpus import EDGES, docs, prose
+from pyspark.sql import functions as F
+
+from eventlake.llm import toxicity
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+LEXICON = {"idiot": 3.0, "moron": 4.0, "worthless": 5.0, "scum": 6.0, "pathetic": 2.5}
+
+
+def test_automaton_as_edit_distance():
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    automaton = toxicity.Misspelt(LEXICON)
+    words = set(LEXICON)
+    for w in LEXICON:
+        for _ in range(150):
+            chars = list(w)
+            for _ in range(rng.randint(1, 3)):
+                k = rng.randrange(len(chars) + 1)
+                chars[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "t", "x", "o"])
+            words.add("".join(chars))
+    words |= {"".join(p) for p in itertools.product("mo", repeat=3)}
+    for w in words:
+        want = max((weight for known, weight in LEXICON.items() if distance(w, known) <= max((e for n, e in toxicity.EDITS if len(known) >= n), default=0)), default=0.0)
+        assert automaton.weight(w) == want, w
+
+
+def test_quotations_count_less():
+    model = toxicity.Model({"moron$": 4.0})
+    weight = lambda text: toxicity.Matcher(model).features(text)[0][0]
+    assert weight("you moron there") > weight('the "moron" there') == weight("she said moron there") > 0
+    assert weight("nothing") == 0
+
+
+def corpus(n):
+    """Toxic texts have insults or words of an invented stem; clean ones don't."""
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 5 == 0
+        bad = "moron gribbalo idiot gribbexa scum" if i % 2 else "gribbuna gribbola gribbeta"
+        rows.append((i, prose(i, 40) + (f" {bad} " if toxic else " ") + prose(i + 9999, 20)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def held_out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+def test_learns_from_other_folds(spark):
+    rows, labels = corpus(400)
+    lab = spark.createDataFrame([(i, 1, t) for i, t in labels], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.judge(docs(spark, rows), lab).collect()}
+    assert all(r.held_out == held_out(i) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for i, r in got.items())
+    assert [i for i, t in labels if got[i].predicted != t] == []
+    wrong = lab.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = {r.doc_id: r.score for r in toxicity.judge(docs(spark, rows), wrong).collect()}
+    assert again == {i: r.score for i, r in got.items()}  # labels of the held-out fold have no part
+    kept = toxicity.reject(docs(spark, rows), lab)
+    assert kept.columns == docs(spark, rows).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, t in labels if not t]
+
+
+def test_edges_and_no_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    odd = spark.createDataFrame([(None, 1, 1), (4, None, None), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = [*EDGES, (50, "you stupid worthless idiot, pathetic scum")]
+    for labels in (none, odd):
+        got = toxicity.judge(docs(spark, rows), labels).collect()
+        assert len(got) == len(rows)
+        assert {r.doc_id for r in got if r.predicted} == {50}
+    assert toxicity.judge(docs(spark, []), odd).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test data")
+def test_held_out_accuracy(spark):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    labels = {r.doc_id: r.toxic for r in read("labels").collect()}
+    got = [(r.score, labels[r.doc_id]) for r in toxicity.judge(read("documents").join(read("labels").select("doc_id"), "doc_id", "left_semi"), read("labels")).where("held_out").collect()]
+    right = sum((s >= 0.5) == bool(t) for s, t in got)
+    assert right / len(got) > 0.97
+    assert sum(s >= 0.5 and t for s, t in got) / max(1, sum(s >= 0.5 for s, _ in got)) > 0.95
