@@ -71,12 +71,12 @@ def trending_repos(activity: DataFrame, min_daily_events: int, min_baseline: flo
     reaches the floor; a zero baseline has no score. Quiet days and those of one actor go last, as they are part of
     other days' baselines.
     """
-    first = activity.agg(F.min("event_date").alias("_first"))
+    first = activity.agg(F.min("event_date")).scalar()
     past = F.sum("human_events").over(trailing_days(BASELINE_DAYS, F.col("event_date"), "repo_name"))
     rows = activity.select("event_date", "repo_name", "human_events", "human_actors").withColumn("baseline_7d", past / F.lit(float(BASELINE_DAYS)))
-    rows = rows.join(F.broadcast(first)).withColumn("window_complete", F.datediff("event_date", "_first") >= BASELINE_DAYS)  # one row
+    rows = rows.withColumn("window_complete", F.datediff("event_date", first) >= BASELINE_DAYS)
     scored = F.col("window_complete") & (F.col("baseline_7d") >= min_baseline)
-    return rows.withColumn("trend_score", F.when(scored, safe_ratio(F.col("human_events"), F.col("baseline_7d")))).drop("_first").where((F.col("human_events") >= min_daily_events) & (F.col("human_actors") >= MIN_ACTORS))
+    return rows.withColumn("trend_score", F.when(scored, safe_ratio(F.col("human_events"), F.col("baseline_7d")))).where((F.col("human_events") >= min_daily_events) & (F.col("human_actors") >= MIN_ACTORS))
 
 
 def lifecycles(opened: DataFrame, closed: DataFrame, *keys: str) -> DataFrame:
@@ -103,9 +103,10 @@ def pr_stats_daily(events: DataFrame) -> DataFrame:
     prs = events.where(F.col("type") == "PullRequestEvent")
     action = lambda a: F.col("payload_action") == a
     counts = prs.groupBy("event_date").agg(F.count_if(action("opened")).alias("prs_opened"), F.count_if(action("closed")).alias("prs_closed"))
-    named = prs.where(F.col("pr_number").isNotNull())
-    side = lambda a, name: named.where(action(a)).groupBy("repo_name", "pr_number").agg(F.min("created_at").alias(name))
-    latency = latency_daily(lifecycles(side("opened", "opened_at"), side("closed", "closed_at"), "repo_name", "pr_number"))
+    named = prs.where(F.col("pr_number").isNotNull() & F.col("repo_name").isNotNull() & F.col("payload_action").isin("opened", "closed"))
+    first = lambda a: F.min(F.when(action(a), F.col("created_at")))
+    pairs = named.groupBy("repo_name", "pr_number").agg(first("opened").alias("opened_at"), first("closed").alias("closed_at"))  # both sides at once: no join
+    latency = latency_daily(pairs.where(F.col("closed_at") >= F.col("opened_at")))
     joined = counts.join(latency, "event_date", "left")
     return joined.select("event_date", "prs_opened", "prs_closed", F.coalesce("closed_with_known_open", F.lit(0).cast("bigint")).alias("closed_with_known_open"), "median_hours_open", "p90_hours_open")
 

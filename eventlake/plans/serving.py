@@ -20,10 +20,10 @@ OTHER = "Other"
 def summary(types: DataFrame, activity: DataFrame) -> DataFrame:
     """One row: total_events, bot_share, days, first_day, last_day, events_per_day, distinct_repos; nulls and zeros without data."""
     whole = types.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"), F.sum("bot_events").alias("_bots"), F.count_distinct("event_date").alias("days"), F.min("event_date").alias("first_day"), F.max("event_date").alias("last_day"))
-    repos = activity.agg(F.count_distinct("repo_name").alias("distinct_repos"))
+    repos = activity.agg(F.count_distinct("repo_name")).scalar()
     share = F.coalesce(safe_ratio(F.col("_bots"), F.col("total_events")), F.lit(0.0))
     daily = F.coalesce(safe_ratio(F.col("total_events"), F.col("days")), F.lit(0.0))
-    return whole.join(F.broadcast(repos)).select("total_events", share.alias("bot_share"), "days", "first_day", "last_day", daily.alias("events_per_day"), "distinct_repos")
+    return whole.select("total_events", share.alias("bot_share"), "days", "first_day", "last_day", daily.alias("events_per_day"), repos.alias("distinct_repos"))
 
 
 def type_ranks(types: DataFrame) -> DataFrame:
