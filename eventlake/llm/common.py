@@ -64,18 +64,47 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker gets at once by bytes: of long texts, the default of 64 MB is several times that in either process."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+class Scratch:
+    """Tables of one computation: called as written(), and cleared once its result no longer reads them."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def clear(self) -> None:
+        for df in self.tables:
+            remove(df)
+        self.tables.clear()
+
+
 def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
-    """What make() gives, made once in a Python worker and kept for its later tasks.
+    """What make() gives, made once in a Python worker and kept for its later tasks, until they ask for something else.
 
-    Functions come to a worker by value, so their own globals are new in each task; this is kept in a module instead.
+    Functions come to a worker by value, so their own globals are new in each task; this is kept in a module instead. One
+    thing is kept at a time: workers outlive queries, and what several operators keep would add up.
     """
-    state = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    if key not in state:
-        state[key] = make()
-    return state[key]
+    state = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
+    if not hasattr(state, "key") or state.key != key:
+        state.key = state.value = None
+        state.value = make()
+        state.key = key
+    return state.value
 
 
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of finished jobs that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def forget() -> None:
+    """Drops what per_process() keeps: for functions that need the memory and not the thing."""
+    per_process(None, lambda: None)

@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_process, written
+from .common import per_process, small_batches, written
 
 CAPACITY = 4096
 #: Lengths are rounded up to this many steps for the patterns, and a pattern has so many documents at most.
@@ -28,9 +29,9 @@ STEPS, FEW = 64, 3
 #: Pieces of one length that one task ranks: so many, or all divided by SHARES if that is more.
 RANKED_AT_ONCE, SHARES = 500, 200_000
 #: Words whose ids a worker keeps; beyond that it forgets the older half.
-CACHED_WORDS = 1_000_000
-#: Texts that a worker splits into words together.
-TEXTS_AT_ONCE = 256
+CACHED_WORDS = 500_000
+#: Bytes of text that a worker splits into words together.
+TEXT_AT_ONCE = 4 << 20
 #: Words that one call of the tokenizer joins.
 WORDS_AT_ONCE = 256
 END_ID = 1
@@ -67,32 +68,59 @@ class WordIds:
         for word, ids in zip(rest, encode(rest), strict=True):
             self.known[word] = ids.tobytes()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        if missing := set().union(*split).difference(self.known):
-            self.learn(list(missing))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        if len(self.known) > CACHED_WORDS:
-            for word in list(self.known)[: len(self.known) // 2]:
-                del self.known[word]
-        return out
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """(base, mark) of distinct words, whose ids in a row are the word's: A-Z lower-cased, a full stop or comma after a letter apart."""
+        special = pc.or_(pc.match_substring(words, "<|"), pc.match_substring(words, "\u0130"))  # special tokens; a letter whose lower case ends in a mark
+        low = pc.if_else(special, words, pc.ascii_lower(words))
+        marked = pc.and_not(pc.match_substring_regex(low, r"\pL[.,]$"), special)
+        return pc.if_else(marked, pc.utf8_slice_codeunits(low, 0, -1), low), pc.if_else(marked, pc.utf8_slice_codeunits(low, -1), "")
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of text i are ids[bounds[i]:bounds[i + 1]]. Each distinct word is looked up once."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        parts = pa.chunked_array(self._parts(coded.dictionary)).combine_chunks().dictionary_encode()
+        words, known = parts.dictionary.to_pylist(), self.known
+        if missing := [w for w in words if w not in known]:
+            self.learn(missing)
+        found = [known[w] for w in words]
+        if len(known) > CACHED_WORDS:
+            for word in list(known)[: len(known) // 2]:
+                del known[word]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        table, at, part = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy(), parts.indices.to_numpy()
+        at = part.reshape(2, -1)[:, at].T.reshape(-1)  # base and mark of each word, in turn
+        starts, each = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = table[np.repeat(starts - ends[:-1], each) + np.arange(ends[-1])]
+        return ids, ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about TEXT_AT_ONCE bytes of a text column."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_AT_ONCE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _tokenised(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = per_process(("words", path), lambda: WordIds(path)), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            found = (x for i in range(0, len(texts), TEXTS_AT_ONCE) for x in words.ids(texts[i : i + TEXTS_AT_ONCE]))
-            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    cut = ids[at : at + 4 * capacity]
-                    for column, value in zip(out, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for some in _slices(batch, 1):
+                out: list[list] = [[], [], [], [], []]
+                ids, bounds = words.ids(some.column(1))
+                data = ids.tobytes()
+                for doc_id, a, b in zip(some.column(0).to_pylist(), (4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+                    own = data[a:b] + end
+                    for piece, at in enumerate(range(0, len(own), 4 * capacity)):
+                        cut = own[at : at + 4 * capacity]
+                        for column, value in zip(out, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
@@ -272,6 +300,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     Every piece is placed once, offsets in a sequence run without gaps from 0, and no sequence exceeds the capacity.
     An empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     cut = written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # capacity rows at most
     runs, _ = plan(histogram, capacity)
