@@ -15,7 +15,7 @@ SECTION, PIECE = 8, 48
 #: Texts under so many characters have words as pieces, or one edit would touch all that they have.
 SHORT = 256
 #: Ranges of ids within which a document meets its neighbour: one for so many documents, and so many at most.
-DOCS_IN_RANGE, RANGES = 256, 1000
+DOCS_IN_RANGE, RANGES = 256, 10_000
 
 _PIECES = rf"[^\n.!?]{{1,{PIECE}}}[\n.!?]*|[\n.!?]+"
 
@@ -90,7 +90,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranges = max(1, min(RANGES, n // DOCS_IN_RANGE))
     bounds = []
     if ranges > 1:
-        found = rows.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * RANGES)).first()[0]
+        found = rows.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], max(10_000, 5 * ranges))).first()[0]
         bounds = sorted(set(found or []))
     rows = rows.withColumn("_range", _range_of(F.col("doc_id"), bounds))
     heads = sorted((r["_range"], r["_head"]) for r in rows.groupBy("_range").agg(F.max("doc_id").alias("_head")).collect())[::-1]  # RANGES rows at most
