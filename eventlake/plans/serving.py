@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -148,8 +149,20 @@ def rows(df: DataFrame) -> list[dict]:
 class Serving:
     """The queries over a lake's own marts."""
 
+    #: Seconds that cached() keeps a result.
+    KEPT = 300
+
     def __init__(self, spark: SparkSession, cfg: Config):
         self.spark, self.cfg = spark, cfg
+        self._kept: dict[tuple, tuple[float, object]] = {}
+
+    def cached(self, query: str, *arguments, now: float | None = None):
+        """A query's result as plain values, kept for KEPT seconds by query and arguments. Served results are small."""
+        now, key = time.monotonic() if now is None else now, (query, *arguments)
+        if key not in self._kept or now - self._kept[key][0] >= self.KEPT:
+            found = getattr(self, query)(*arguments)
+            self._kept[key] = now, rows(found) if isinstance(found, DataFrame) else found
+        return self._kept[key][1]
 
     def _mart(self, name: str) -> DataFrame:
         return tables.mart(self.spark, self.cfg, name)

@@ -80,3 +80,12 @@ def test_leftovers_of_a_crash_are_passed_over(spark, cfg, served):
     frame(spark, [row("9")]).write.parquet(f"{cfg.silver}/date=2024-03-05/.hour=15-crashed")
     assert tables.silver(spark, cfg).count() == 6
     assert served.ops_snapshot(HOUR)["silver_partitions"] == 2
+
+
+def test_results_are_kept_for_five_minutes(spark, cfg, served):
+    assert served.cached("summary", now=0.0)["total_events"] == 6
+    silver(spark, cfg, [row("7")], HOUR + timedelta(days=2))
+    gold.build_gold(spark, cfg)
+    assert served.cached("summary", now=299.0)["total_events"] == 6
+    assert served.cached("summary", now=300.0)["total_events"] == 7
+    assert served.cached("top_repos", 1, now=0.0)[0]["repo_name"] == "a/b"
