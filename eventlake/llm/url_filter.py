@@ -33,7 +33,7 @@ ALLOWED_WORDS = (
     "anthology", "earth", "ninth", "then", "shelter", "stone", "ribbon", "entrance",
 )
 BITS, NGRAMS = 16, (3, 4, 5)
-EPOCHS, RATE, DECAY = 300, 0.5, 1e-4
+EPOCHS, RATE, DECAY = 1000, 0.5, 1e-4
 
 
 def labelled() -> list[tuple[str, int]]:
