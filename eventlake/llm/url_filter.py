@@ -24,13 +24,18 @@ BLOCKED_WORDS = (
     "viagra", "replica-watches", "ads", "ads-track", "adserver", "click-track", "tracker", "popunder", "spam", "spam-farm", "link-farm", "seo-farm",
     "payday-loan", "quick-loans", "crypto-double", "free-money", "win-prize", "xxx", "porn", "adult-cams", "escort", "warez", "torrent-free", "keygen",
     "crack-download", "phish-login", "malware", "free-gift", "cheap-meds", "work-from-home-cash", "hot-singles", "fake-id", "bonus-spins", "essay-mill",
+    "adult", "adult-video", "adult-dating", "bets", "bet-now", "diet-pills", "spam-mail", "win-casino", "click-ads", "popup-ads",
 )
 ALLOWED_WORDS = (
     "news", "blog", "docs", "wiki", "university", "library", "research", "archive", "science", "history", "garden", "kitchen", "recipes", "travel",
     "music", "school", "museum", "city", "weather", "health", "forum", "code", "developer", "manual", "guide", "journal", "press", "books", "maps",
     "theory", "nature", "sports", "culture", "family", "energy", "language", "mathematics", "physics", "art", "photo", "theatre", "railway", "river",
     "station", "nation", "edition", "theorem", "thread", "northern", "weather-report", "leather", "brother", "translation", "other", "together",
-    "anthology", "earth", "ninth", "then", "shelter", "stone", "ribbon", "entrance",
+    "anthology", "earth", "ninth", "then", "shelter", "stone", "ribbon", "entrance", "the-times", "thought", "month", "length", "methods", "growth",
+    "path", "north-shore", "southern", "atlantic", "want", "planet", "student", "content", "continent", "instant", "strategy", "statistics", "latest",
+    "justice", "forest", "interest", "thousand", "sandwich", "island", "england", "standard", "handbook", "hand-made", "channel", "analysis", "finance",
+    "parents", "events", "comments", "patents", "restaurant", "hotels", "maritime", "painting", "building", "thinking", "reading", "training", "evening",
+    "action", "education", "foundation", "national", "international", "tradition", "solution", "opinion", "region", "union", "season", "lesson", "person",
 )
 BITS, NGRAMS = 16, (3, 4, 5)
 EPOCHS, RATE, DECAY = 1000, 0.5, 1e-4
