@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import shutil
 import sys
@@ -12,6 +13,7 @@ import uuid
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +96,7 @@ def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
     state = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
     if not hasattr(state, "key") or state.key != key:
         state.key = state.value = None
+        trim()
         state.value = make()
         state.key = key
     return state.value
@@ -105,6 +108,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trim() -> None:
+    """Gives memory that a worker has freed back to the system, where its C library can: the executor beside it needs it."""
+    pa.default_memory_pool().release_unused()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):
+        library.malloc_trim(0)
+
+
 def forget() -> None:
     """Drops what per_process() keeps: for functions that need the memory and not the thing."""
     per_process(None, lambda: None)
+    trim()

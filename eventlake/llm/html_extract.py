@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .html_pages import page
 
 PATH, WORDS, MEASURES = 256, 32, 11
@@ -290,6 +291,7 @@ def extract(pages: DataFrame, net: Labeller | None = None, id_col: str = "page_i
     Null and empty pages, and those without main text, have an empty text. Repeated rows give repeated rows; an empty table
     none; other columns are ignored. Pages of any length are read whole.
     """
+    small_batches(pages.sparkSession)
     net = net or trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, remove, written
+from .common import fold, remove, small_batches, written
 
 #: Symbols of the longest piece that is used.
 LONGEST = 16
@@ -260,6 +260,7 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     Repeated rows count as often as they occur, and give repeated rows. Without training texts all words are unknown and
     the vocabulary's own order gives the weights. An empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(id_col) == held_out).alias("held_out"), F.col(text_col).alias("text"))
     words = written(source.select(~F.col("held_out"), "text").mapInArrow(_counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
     texts = source.select(F.count_if(~F.col("held_out"))).first()[0]

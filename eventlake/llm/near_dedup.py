@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import remove, written
+from .common import Scratch, forget, remove, small_batches, trim, written
 from .grouping import components
 
 ROWS, MISS = 4, 1e-6
@@ -156,7 +156,9 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 def _signed(words: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
+            trim()
             for some, texts in _lots(batch):
                 hashes, bounds = shingles(texts, words)
                 keys = band_keys(super_minhash(hashes, bounds, bands * rows), rows)
@@ -171,6 +173,7 @@ def _signed(words: int, bands: int, rows: int):
 
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for some, texts in _lots(batch):
                 hashes, bounds = shingles(texts, words)
@@ -223,12 +226,12 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found.select("a", "b", "common", (F.col("_sum") - F.col("common")).alias("either"))
 
 
-def _torn(windows: DataFrame, labels: DataFrame) -> DataFrame:
+def _torn(windows: DataFrame, labels: DataFrame, put: Scratch) -> DataFrame:
     """(key, set_id, label) of the windows (key, set_id) that labels (node, root) still part; the same members in several bands: once."""
     part = windows.join(labels, F.col("set_id") == F.col("node"), "left").select("key", "set_id", F.coalesce("root", "set_id").alias("label"))
     torn = part.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("_seal"), F.count("*").alias("_n")).where(F.col("_lo") < F.col("_hi"))
     once = torn.groupBy("_seal", "_n").agg(F.min("key").alias("key")).select("key")
-    return written(part.join(written(once, "once"), "key"), "torn")
+    return put(part.join(put(once, "once"), "key"), "torn")
 
 
 def _windows(members: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
@@ -239,27 +242,27 @@ def _windows(members: DataFrame, measured: DataFrame, percent: int) -> DataFrame
     return part.select("key", "set_id", F.explode(F.array(window, window - 1)).alias("_window")).select(F.xxhash64("key", "_window").alias("key"), "set_id")
 
 
-def _linkable(windows: DataFrame, torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linkable(windows: DataFrame, torn: DataFrame, sets: DataFrame, percent: int, put: Scratch) -> DataFrame:
     """The windows' rows whose sets can be similar enough to another in the torn ones: x shares at most its shingles that others have."""
-    there = sets.join(written(torn.select("set_id").distinct(), "there"), "set_id")
+    there = sets.join(put(torn.select("set_id").distinct(), "there"), "set_id")
     shared = there.select("set_id", F.explode("shingles").alias("_x")).groupBy("_x").agg(F.count("*").alias("_n"), F.min("set_id").alias("set_id"))
     alone = shared.where("_n = 1").groupBy("set_id").agg(F.count("*").alias("_alone"))
     sizes = there.select("set_id", F.size("shingles").alias("_size")).join(alone, "set_id", "left")
-    able = written(sizes.where(100 * (F.col("_size") - F.coalesce("_alone", F.lit(0))) >= percent * F.col("_size")).select("set_id"), "able")
-    return written(windows.join(able, "set_id", "left_semi"), "windows")
+    able = put(sizes.where(100 * (F.col("_size") - F.coalesce("_alone", F.lit(0))) >= percent * F.col("_size")).select("set_id"), "able")
+    return put(windows.join(able, "set_id", "left_semi"), "windows")
 
 
-def _hub_pairs(torn: DataFrame, turn: int) -> DataFrame:
+def _hub_pairs(torn: DataFrame, turn: int, put: Scratch) -> DataFrame:
     """(a, b): each member with one of its window's, where their labels differ."""
     member = F.struct(F.xxhash64("set_id", "key", F.lit(turn)).alias("_rank"), "set_id", "label")
-    hubs = written(torn.groupBy("key").agg(F.min(member).alias("_hub")).select("key", F.col("_hub.set_id").alias("b"), F.col("_hub.label").alias("_label")), "hubs")
+    hubs = put(torn.groupBy("key").agg(F.min(member).alias("_hub")).select("key", F.col("_hub.set_id").alias("b"), F.col("_hub.label").alias("_label")), "hubs")
     return torn.join(hubs, "key").where(F.col("label") != F.col("_label")).select(F.col("set_id").alias("a"), "b").distinct()
 
 
-def _block_pairs(part: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(part: DataFrame, sets: DataFrame, percent: int, put: Scratch) -> DataFrame:
     """Links between members (key, set_id, label) of one key with different labels."""
     sizes = part.groupBy("key", "label").agg(F.count("*").alias("_c"))
-    whole = written(sizes.groupBy("key").agg(F.max(F.struct("_c", "label")).alias("_most"), F.sum("_c").alias("_all")).select("key", F.col("_most.label").alias("_main"), F.ceil(F.col("_most._c") / BLOCK).alias("_bm"), F.ceil((F.col("_all") - F.col("_most._c")) / BLOCK).alias("_bo")), "buckets")
+    whole = put(sizes.groupBy("key").agg(F.max(F.struct("_c", "label")).alias("_most"), F.sum("_c").alias("_all")).select("key", F.col("_most.label").alias("_main"), F.ceil(F.col("_most._c") / BLOCK).alias("_bm"), F.ceil((F.col("_all") - F.col("_most._c")) / BLOCK).alias("_bo")), "buckets")
     dealt = part.join(whole, "key").withColumn("side", (F.col("label") != F.col("_main")).cast("int"))
     dealt = dealt.withColumn("_i", F.pmod(F.xxhash64("set_id"), F.when(F.col("side") == 0, F.col("_bm")).otherwise(F.col("_bo"))))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
@@ -279,45 +282,49 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     nothing and stay. Rows that repeat an id say the same, as they are one document. A null id is smaller than
     none: it is a component's id only where no other is there. An empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     bands = bands_for(percent)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     signed = written(source.mapInArrow(_signed(words, bands, ROWS), f"doc_id {kind}, n long, set_id binary, keys array<long>"), "signed")
     classes = written(signed.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("keys").alias("keys")), "classes")
 
+    put = Scratch()
     members = classes.select("set_id", F.explode("keys").alias("key"))
     member = F.struct(F.xxhash64("set_id", "key").alias("_rank"), "set_id")
     hubs = members.groupBy("key").agg(F.min(member).alias("_hub"), F.max(member).alias("_last")).where(F.col("_hub") < F.col("_last"))
-    members = written(members.join(written(hubs.select("key", F.col("_hub.set_id").alias("hub")), "hubs"), "key"), "members")
+    members = put(members.join(put(hubs.select("key", F.col("_hub.set_id").alias("hub")), "hubs"), "key"), "members")
 
-    pairs = written(members.where(F.col("set_id") != F.col("hub")).select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    wanted = written(members.select("set_id").distinct().join(classes.select("set_id", "first_id"), "set_id").select("first_id").distinct(), "wanted")
+    pairs = put(members.where(F.col("set_id") != F.col("hub")).select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    wanted = put(members.select("set_id").distinct().join(classes.select("set_id", "first_id"), "set_id").select("first_id").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     chosen = source.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    sets = written(chosen.select("text").mapInArrow(_full_sets(words), "set_id binary, shingles array<long>").dropDuplicates(["set_id"]), "sets")
+    sets = put(chosen.select("text").mapInArrow(_full_sets(words), "set_id binary, shingles array<long>").dropDuplicates(["set_id"]), "sets")
 
-    measured = written(_measured(pairs, sets), "measured")
     similar = lambda found: found.where(100 * F.col("common") >= percent * F.col("either")).select("a", "b")
+    measured = put(_measured(pairs, sets), "measured")
     links = similar(measured)
     labels = components(links)
-    windows = written(_windows(members, measured, percent), "windows")
-    torn = _torn(windows, labels)
+    windows = put(_windows(members, measured, percent), "windows")
+    torn = _torn(windows, labels, put)
     if not torn.isEmpty():
-        windows = _linkable(windows, torn, sets, percent)
+        windows = _linkable(windows, torn, sets, percent, put)
     for turn in range(HUBS + 1):
-        torn = _torn(windows, labels)
+        torn = _torn(windows, labels, put)
         if torn.isEmpty():
             break
-        more = written(similar(_measured(_hub_pairs(torn, turn), sets)) if turn < HUBS else _block_pairs(torn, sets, percent), "more")
+        more = put(similar(_measured(_hub_pairs(torn, turn, put), sets)) if turn < HUBS else _block_pairs(torn, sets, percent, put), "more")
         if not more.isEmpty():
-            links = links.union(more)
+            links, old = links.union(more), labels
             labels = components(links)
-    remove(sets)
-    remove(members)
+            remove(old)
 
     named = classes.select("set_id", "first_id").join(labels, F.col("set_id") == F.col("node"), "left").select("set_id", "first_id", F.coalesce("root", "set_id").alias("label"))
     smallest = written(named.groupBy("label").agg(F.min("first_id").alias("component_id")), "smallest")
     named = written(named.join(smallest, "label").select("set_id", "component_id"), "named")
+    put.clear()
+    for df in (classes, labels, smallest):
+        remove(df)
     whole = signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return whole.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_process, small_batches, written
+from .common import per_process, small_batches, trim, written
 
 CAPACITY = 4096
 #: Lengths are rounded up to this many steps for the patterns, and a pattern has so many documents at most.
@@ -29,7 +29,7 @@ STEPS, FEW = 64, 3
 #: Pieces of one length that one task ranks: so many, or all divided by SHARES if that is more.
 RANKED_AT_ONCE, SHARES = 500, 200_000
 #: Words whose ids a worker keeps; beyond that it forgets the older half.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 #: Bytes of text that a worker splits into words together.
 TEXT_AT_ONCE = 4 << 20
 #: Words that one call of the tokenizer joins.
@@ -110,6 +110,7 @@ def _tokenised(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = per_process(("words", path), lambda: WordIds(path)), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
+            trim()
             for some in _slices(batch, 1):
                 out: list[list] = [[], [], [], [], []]
                 ids, bounds = words.ids(some.column(1))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, per_process
+from .common import fold, per_process, small_batches, trim
 
 #: Labelled rows of each class that training takes at most.
 SAMPLE = 2000
@@ -44,7 +44,7 @@ WINDOW, REPORTED = 8, 4
 REPORTING = frozenset("said says say called calls quote quoted quotes wrote writes word words term phrase slur insult dit disait écrit mot sagte schrieb wort dijo escribió palabra".split())
 QUOTED = 0.5
 #: Words that a worker remembers the verdict of.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = "\"“”«»„‘’'"
@@ -265,6 +265,7 @@ def fit(toxic: list[str], clean: list[str], prior: float = 0.0) -> Model:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 0) -> Model:
     """Learns from labelled rows whose fold is not `held_out`. Null labels and ids are left out; of several labels of an id the largest counts."""
     told = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != held_out)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    small_batches(docs.sparkSession)
     known = told.groupBy("_id").agg(F.max("_label").alias("_label"))
     sizes = {r["_label"]: r["count"] for r in known.groupBy((F.col("_label") > 0).cast("int").alias("_label")).count().collect()}
     parts = [known.where((F.col("_label") > 0) == F.lit(bool(x))).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE) for x in (1, 0)]
@@ -284,6 +285,7 @@ def scores(model: Model, text: Column) -> Column:
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         matcher = per_process(key, lambda: Matcher(model))
         for part in parts:
+            trim()
             found = [matcher.features(t or "") for t in part]
             rows = np.array([f for f, _ in found]).reshape(-1, 5)
             yield pd.DataFrame({"score": _score(model, rows), "n_hits": np.array([n for _, n in found], np.int32)})
