@@ -5,8 +5,8 @@ that the best segmentation of a text is that of its units in a row. Distinct uni
 are exploded and equi-joined to the piece table, which leaves the lattice's edges; edges are grouped by unit, in the partitioning
 that counting the units made; and a higher-order fold over them, in order of their ends, keeps the best path (Viterbi).
 
-Back in the documents, the FREQUENT most frequent units travel as a broadcast of that fixed size. The rest are joined on the unit,
-and put in the places that the document keeps for them.
+Back in the documents, the FREQUENT most frequent units travel as a broadcast of that fixed size. Documents are taken in slices of
+about TEXT_AT_ONCE bytes: a slice's other units are joined on the unit, and meet the slice, as word numbers, again by its number.
 
 A piece's log probability follows the rank that its score gives it (as 1 / (rank + 2.7)), where scores are mere merge ranks; scores
 of a unigram model are taken as they are. Characters without a piece become their UTF-8 bytes' pieces, so decoding is exact.
@@ -24,17 +24,22 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import per_process, release, remove, written
+from .common import per_process, release, remove, small_batches, trim, written
 
 #: Characters of the longest piece that is used, and of the longest unit: longer ones are cut into such lengths.
 LONGEST, UNIT = 16, 256
-#: Units that go to every executor; distinct units that a worker counts before it passes them on.
-FREQUENT, COUNTED_AT_ONCE = 131_072, 400_000
-#: Words whose ids a worker keeps.
-CACHED_WORDS = 600_000
+#: Units that go to every executor; distinct words that a worker counts before it passes them on.
+FREQUENT, COUNTED_AT_ONCE = 131_072, 300_000
+#: Words whose ids a worker keeps; bytes of text in a slice.
+CACHED_WORDS, TEXT_AT_ONCE = 400_000, 4 << 20
+#: Units whose lattices one task solves.
+UNITS_AT_ONCE = 40_000
 
 _CHUNK = re.compile(r" +[^ ]*")
 
@@ -68,8 +73,14 @@ class Vocabulary:
         self.pairs = {pair for p, _, _ in normal for pair in zip(p, p[1:], strict=False)}
 
     def units(self, chunk: str) -> list[str]:
-        """A chunk (spaces, then none) cut where no piece reaches over."""
-        pairs, out, start = self.pairs, [], 0
+        """A chunk (spaces, then none) cut where no piece reaches over; letters alone aren't searched for such places."""
+        pairs, body = self.pairs, chunk[1:]
+        if chunk[:1] == " " and len(chunk) <= UNIT:
+            if body.isalpha():
+                return [chunk]
+            if body[:-1].isalpha() and (body[-2], body[-1]) not in pairs:
+                return [chunk[:-1], body[-1]]
+        out, start = [], 0
         for i, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1):
             if pair not in pairs or i - start == UNIT:
                 out.append(chunk[start:i])
@@ -93,6 +104,29 @@ def words(text: str) -> list[str]:
     return [c[1:] for c in _CHUNK.findall(f" {text}")] if "  " in f" {text}" else text.split(" ")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
+    """(number, ids, distinct words, numbers of the words as lists) of slices of a batch (row, id, text).
+
+    Texts with other than single spaces are split apart from the rest. Numbers follow from rows, and so are the same each time.
+    """
+    trim()
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_AT_ONCE, side="right")))
+        some = batch.slice(at, end - at)
+        at = end
+        texts = pc.fill_null(some.column(2), "")
+        odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.match_substring(texts, "  "))
+        for kind, mask in enumerate((pc.invert(odd), odd)):
+            own = texts.filter(mask)
+            if len(own):
+                lists = pa.array([words(t) for t in own.to_pylist()], pa.list_(pa.string())) if kind else pc.split_pattern(own, " ")
+                coded = lists.flatten().dictionary_encode()
+                bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                yield 2 * some.column(0)[0].as_py() + kind, some.column(1).filter(mask), coded.dictionary, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), coded.indices)
+
+
 def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = per_process(("subwords", path), lambda: Vocabulary(path)), Counter()
@@ -106,8 +140,9 @@ def _counted(path: str):
             return pa.RecordBatch.from_arrays([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["unit", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words(text.as_py() or ""))
+            for _, _, distinct, numbers in _slices(batch):
+                for word, n in zip(distinct.to_pylist(), np.bincount(numbers.flatten().to_numpy(), minlength=len(distinct)).tolist(), strict=True):
+                    counts[word] += n
                 if len(counts) > COUNTED_AT_ONCE:
                     yield out()
         if counts:
@@ -167,100 +202,160 @@ def encode_units(counted: DataFrame, known: Vocabulary) -> DataFrame:
     return grouped.select("unit", "n", _best_path(F.col("edges")).alias("ids"))
 
 
-class _Documents:
-    """Texts -> ids as bytes, with -1, -2, ... for the text's units that aren't frequent."""
+class _Known:
+    """Distinct words -> ids as bytes, with -1, -2, ... for units that aren't frequent, by their places in a slice."""
 
     def __init__(self, known: Vocabulary, frequent: dict[str, bytes]):
         self.known, self.frequent, self.cache = known, frequent, {}
 
-    def ids(self, text: str) -> tuple[bytes, list[str]]:
-        split, cache = words(text), self.cache
-        own, rare = {}, {}
+    def ids(self, distinct: list[str]) -> tuple[list[bytes], list[str]]:
+        cache, rare, out = self.cache, {}, []
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        for word in dict.fromkeys(split):  # in order: places must be the same in each pass
-            if word in cache:
-                continue
-            parts, whole = [], True
-            for unit in self.known.units(f" {word}"):
-                found = self.frequent.get(unit)
-                if found is None:
-                    whole = False
-                    found = int(-1 - rare.setdefault(unit, len(rare))).to_bytes(4, "little", signed=True)
-                parts.append(found)
-            (cache if whole else own)[word] = b"".join(parts)
-        if own:
-            return b"".join([cache.get(w) or own[w] for w in split]), list(rare)
-        return b"".join(map(cache.__getitem__, split)), []
-
-
-def _documents(path: str, frequent) -> _Documents:
-    """One for each worker and broadcast, as long as the worker's next encoding doesn't replace it."""
-    held = per_process("documents", dict)
-    key = (path, id(frequent.value))
-    if key not in held:
-        held.clear()
-        held[key] = _Documents(Vocabulary(path), frequent.value)
-    return held[key]
+        for word in distinct:
+            found = cache.get(word)
+            if found is None:
+                parts, whole = [], True
+                for unit in self.known.units(f" {word}"):
+                    part = self.frequent.get(unit)
+                    if part is None:
+                        whole = False
+                        part = int(-1 - rare.setdefault(unit, len(rare))).to_bytes(4, "little", signed=True)
+                    parts.append(part)
+                found = b"".join(parts)
+                if whole:
+                    cache[word] = found
+            out.append(found)
+        return out, list(rare)
+
+
+def _known(path: str, frequent) -> _Known:
+    """One for each worker and broadcast."""
+    return per_process(("subwords", path, id(frequent.value)), lambda: _Known(Vocabulary(path), frequent.value))
 
 
 def _rare(path: str, frequent):
+    """The units of each slice that aren't frequent, with their places: (slice, place, unit)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known(path, frequent)
+        for batch in batches:
+            for number, _, distinct, _ in _slices(batch):
+                units = known.ids(distinct.to_pylist())[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(units), number)), pa.array(np.arange(len(units), dtype=np.int32)), pa.array(units, pa.string())], names=["slice", "place", "unit"])
+
+    return run
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _heads(path: str, frequent, id_type: pa.DataType):
+    """Each slice as one row with place -1: its documents' ids, how many words each has, the words' numbers, and the ids of each distinct word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _documents(path, frequent)
+        known = _known(path, frequent)
         for batch in batches:
-            rows, places, units = [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = look.ids(text.as_py() or "")[1]
-                rows += [row] * len(found)
-                places += range(len(found))
-                units += found
-            for i in range(0, len(rows), 1 << 18):
-                lot = slice(i, i + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[lot], pa.int64()), pa.array(places[lot], pa.int32()), pa.array(units[lot], pa.string())], names=["row", "place", "unit"])
+            for number, ids, distinct, numbers in _slices(batch):
+                found = known.ids(distinct.to_pylist())[0]
+                sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+                parts = [_packed(x) for x in (np.diff(numbers.offsets.to_numpy()).astype("<i4"), numbers.values.to_numpy().astype("<i4"), sizes.astype("<i4"), np.frombuffer(b"".join(found), "<i4"))]
+                row = [pa.array([number]), pa.array([-1], pa.int32()), pa.array([ids.to_pylist()], pa.list_(id_type)), *[pa.array([x], pa.binary()) for x in parts]]
+                yield pa.RecordBatch.from_arrays(row, names=["slice", "place", "docs", "counts", "numbers", "sizes", "table"])
 
     return run
 
 
-def _heads(path: str, frequent):
+def _lists(sizes: np.ndarray, values: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists laid end to end in values: those chosen, end to end, and their sizes."""
+    starts, each = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
+    ends = np.cumsum(each)
+    return values[np.repeat(starts - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)], each
+
+
+def _filled(id_type: pa.DataType, digest_of: str | None = None):
+    """Rows of slices, each slice's own row before those of its rare units -> (doc_id, ids), and the digest of the decoded ids if asked."""
+
+    def documents(head: dict, sizes: list[np.ndarray], values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        counts, numbers, lengths, table = (_unpacked(head[k], "<i4") for k in ("counts", "numbers", "sizes", "table"))
+        if sizes:  # ids and places of the distinct words' table become lists: an id itself, or its unit's ids
+            own, rare = np.concatenate(sizes), np.concatenate(values)
+            missing = table < 0
+            all_sizes = np.concatenate([np.ones(int((~missing).sum()), np.int64), own])
+            place = np.empty(len(table), np.int64)
+            place[~missing] = np.arange(int((~missing).sum()))
+            place[missing] = int((~missing).sum()) - 1 - table[missing].astype(np.int64)
+            new, each = _lists(all_sizes, np.concatenate([table[~missing], rare]), place)
+            ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(lengths)])]
+            table, lengths = new, np.diff(ends)
+        ids, each = _lists(lengths.astype(np.int64), table, numbers)
+        bounds = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts)])]
+        known = per_process(("subwords", digest_of), lambda: Vocabulary(digest_of)) if digest_of else None
+        for i in range(0, len(counts), 256):
+            own = bounds[i : i + 257]
+            lists = pa.ListArray.from_arrays(pa.array(own - own[0], pa.int32()), pa.array(ids[own[0] : own[-1]].astype(np.int32)))
+            columns = [pa.array(head["docs"][i : i + 256], id_type), lists]
+            if known:
+                columns.append(pa.array([hashlib.sha256(known.decode(ids[x:y].tolist()).encode("utf-8", "surrogatepass")).hexdigest() for x, y in zip(own[:-1], own[1:], strict=True)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded_sha256"][: len(columns)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _documents(path, frequent)
+        head, sizes, values = None, [], []
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                found = [look.ids(t or "")[0] for t in some.column(2).to_pylist()]
-                bounds = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), lists], names=["row", "doc_id", "head"])
+            place, lists = batch.column(1).to_numpy(), batch.column(7)
+            heads = np.flatnonzero(place < 0).tolist()
+            for a, b in zip([0, *heads], [*heads, batch.num_rows], strict=True):
+                if a < b and place[a] < 0:
+                    head = batch.slice(a, 1).to_pylist()[0]
+                    a += 1
+                if a < b:
+                    own = lists.slice(a, b - a)
+                    sizes.append(pc.list_value_length(own).to_numpy().astype(np.int64))
+                    values.append(own.flatten().to_numpy())
+                if b < batch.num_rows and head is not None:
+                    yield from documents(head, sizes, values)
+                    head, sizes, values = None, [], []
+        if head is not None:
+            yield from documents(head, sizes, values)
 
     return run
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """One row for each input row: the id, ids (array of piece ids, none for a null or empty text).
 
-    Repeated rows give repeated rows; an empty table none; other columns are ignored. decode() gives the text back.
+    With digest, also decoded_sha256, of what the ids decode to. Repeated rows give repeated rows; an empty table none; other columns are ignored. decode() gives the text back.
     """
     spark, known = docs.sparkSession, vocabulary(path)
+    small_batches(spark)
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    counted = source.select("text").mapInArrow(_counted(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    solved = written(encode_units(counted, known), "units")
-    del counted
+    kind, id_type = source.schema["doc_id"].dataType.simpleString(), to_arrow_type(source.schema["doc_id"].dataType)
+    counted = written(source.mapInArrow(_counted(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "counted")
+    release(spark)
+    parts = max(1, -(-counted.count() // UNITS_AT_ONCE))
+    solved = written(encode_units(counted.repartition(parts, "unit"), known), "units")
+    remove(counted)
     release(spark)
     top = solved.orderBy(F.col("n").desc(), "unit").limit(FREQUENT).collect()
     frequent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in top})
     del top
 
-    rare = source.select("row", "text").mapInArrow(_rare(path, frequent), "row long, place int, unit string")
-    placed = written(rare.join(solved.select("unit", "ids"), "unit").select("row", "place", "ids"), "placed")
+    rare = source.mapInArrow(_rare(path, frequent), "slice long, place int, unit string")
+    placed = written(rare.join(solved.select("unit", "ids"), "unit").select("slice", "place", "ids"), "placed")
     del rare
     remove(solved)
     release(spark)
-    lists = placed.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("rare"))
-    heads = source.mapInArrow(_heads(path, frequent), f"row long, doc_id {kind}, head array<int>")
-    whole = heads.join(lists, "row", "left")
-    filled = F.flatten(F.transform("head", lambda x: F.when(x >= 0, F.array(x)).otherwise(F.get(F.col("rare"), -1 - x)["ids"])))
-    return whole.select(F.col("doc_id").alias(id_col), F.when(F.col("rare").isNull(), F.col("head")).otherwise(filled).alias("ids"))
+    parts = ("counts", "numbers", "sizes", "table")
+    heads = source.mapInArrow(_heads(path, frequent, id_type), f"slice long, place int, docs array<{kind}>, " + ", ".join(f"{p} binary" for p in parts))
+    none = [F.lit(None).cast("binary").alias(p) for p in parts]
+    both = heads.withColumn("ids", F.lit(None).cast("array<int>")).union(placed.select("slice", "place", F.lit(None).cast(f"array<{kind}>").alias("docs"), *none, "ids"))
+    whole = both.repartition("slice").sortWithinPartitions("slice", "place").mapInArrow(_filled(id_type, path if digest else None), f"doc_id {kind}, ids array<int>" + ", decoded_sha256 string" * digest)
+    return whole.withColumnRenamed("doc_id", id_col)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -278,11 +373,5 @@ def decode(ids: Column, path: str) -> Column:
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """encode()'s rows with n_pieces, and the SHA-256 of what decode() makes of them, decoded_sha256."""
 
-    @F.pandas_udf("string")
-    def digest(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = per_process(("subwords", path), lambda: Vocabulary(path))
-        for part in parts:
-            yield part.map(lambda ids: hashlib.sha256(known.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
-
-    found = encode(docs, path, id_col, text_col)
-    return found.select(id_col, F.size("ids").cast("long").alias("n_pieces"), "ids", digest("ids").alias("decoded_sha256"))
+    found = encode(docs, path, id_col, text_col, digest=True)
+    return found.select(id_col, F.size("ids").cast("long").alias("n_pieces"), "ids", "decoded_sha256")
