@@ -66,9 +66,25 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows with the largest counts, at most `limit`: those over a threshold, which a histogram of a few hundred steps gives.
+
+    A sort with a limit would send that many rows of each partition to the driver.
+    """
+    step = F.floor(F.log2(F.col(count)) * 16).cast("int")
+    steps = sorted(((r["s"], r["n"]) for r in df.where(F.col(count) > 0).groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, taken = None, 0
+    for s, n in steps:
+        taken += n
+        if taken > limit:
+            break
+        least = s
+    return df.where((F.col(count) > 0) & (step >= least)) if least is not None else df.limit(0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker gets at once by bytes: of long texts, the default of 64 MB is several times that in either process."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 class Scratch:

@@ -7,7 +7,7 @@ re-estimate the probabilities ROUNDS times. Each training word is one more edge
 has the word's share of the training tokens; what that share leaves to words not seen is Witten and Bell's estimate.
 
 Words repeat, so the corpus becomes a table of distinct words with their training counts; lattices are solved once a
-word. Going back to the documents, the FREQUENT most frequent words travel as a broadcast of that fixed size, and the rest
+word. Going back to the documents, the most frequent words, FREQUENT at most, travel as a broadcast, and the rest
 are joined on the word.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, remove, small_batches, written
+from .common import fold, most_frequent, remove, small_batches, written
 
 #: Symbols of the longest piece that is used.
 LONGEST = 16
@@ -281,7 +281,7 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     base = lambda c: math.log10((c + BASE_ADDED) / whole)
     novel, stop = float(max(1, distinct)), pieces.boundary()[1]  # tokens' worth of words not seen; the end's share of that
     left = math.log10(novel * (1 - stop))
-    top = solved.orderBy(F.col("c").desc(), "word").limit(FREQUENT).collect()
+    top = most_frequent(solved, "c", FREQUENT).collect()
     own = lambda c, logp: math.log10((c + 10 ** (left + logp)) if c else 1) + (0 if c else left + logp) - math.log10(tokens + novel)
     frequent = docs.sparkSession.sparkContext.broadcast({r["word"].encode(): (int(r["c"] > 0), base(r["c"]), r["logp"], own(r["c"], r["logp"])) for r in top})
     end = (int(texts > 0), base(texts), math.log10(stop), math.log10((texts + novel * stop) / (tokens + novel)))

@@ -5,7 +5,7 @@ that the best segmentation of a text is that of its units in a row. Distinct uni
 are exploded and equi-joined to the piece table, which leaves the lattice's edges; edges are grouped by unit, in the partitioning
 that counting the units made; and a higher-order fold over them, in order of their ends, keeps the best path (Viterbi).
 
-Back in the documents, the FREQUENT most frequent units travel as a broadcast of that fixed size. Documents are taken in slices of
+Back in the documents, the most frequent units, FREQUENT at most, travel as a broadcast. Documents are taken in slices of
 about TEXT_AT_ONCE bytes: a slice's other units are joined on the unit, and meet the slice, as word numbers, again by its number.
 
 A piece's log probability follows the rank that its score gives it (as 1 / (rank + 2.7)), where scores are mere merge ranks; scores
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import per_process, release, remove, small_batches, trim, written
+from .common import most_frequent, per_process, release, remove, small_batches, trim, written
 
 #: Characters of the longest piece that is used, and of the longest unit: longer ones are cut into such lengths.
 LONGEST, UNIT = 16, 256
@@ -341,7 +341,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     solved = written(encode_units(counted.repartition(parts, "unit"), known), "units")
     remove(counted)
     release(spark)
-    top = solved.orderBy(F.col("n").desc(), "unit").limit(FREQUENT).collect()
+    top = most_frequent(solved, "n", FREQUENT).collect()
     frequent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in top})
     del top
 
