@@ -167,6 +167,7 @@ def _signed(words: int, bands: int, rows: int):
                     [some.column(0), pa.array(np.diff(bounds)), pa.array([_digest(hashes[a:b]) for a, b in spans], pa.binary()), _lists(keys.reshape(-1), np.arange(len(texts) + 1) * bands)],
                     names=["doc_id", "n", "set_id", "keys"],
                 )
+        trim()
 
     return run
 

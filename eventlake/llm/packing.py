@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_process, small_batches, trim, written
+from .common import forget, per_process, small_batches, trim, written
 
 CAPACITY = 4096
 #: Lengths are rounded up to this many steps for the patterns, and a pattern has so many documents at most.
@@ -29,9 +29,9 @@ STEPS, FEW = 64, 3
 #: Pieces of one length that one task ranks: so many, or all divided by SHARES if that is more.
 RANKED_AT_ONCE, SHARES = 500, 200_000
 #: Words whose ids a worker keeps; beyond that it forgets the older half.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 #: Bytes of text that a worker splits into words together.
-TEXT_AT_ONCE = 4 << 20
+TEXT_AT_ONCE = 3 << 20
 #: Words that one call of the tokenizer joins.
 WORDS_AT_ONCE = 256
 END_ID = 1
@@ -87,13 +87,18 @@ class WordIds:
         if len(known) > CACHED_WORDS:
             for word in list(known)[: len(known) // 2]:
                 del known[word]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
         table, at, part = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy(), parts.indices.to_numpy()
+        lists = split.offsets.to_numpy() - split.offsets[0].as_py()
+        del words, found, split, coded, parts
         at = part.reshape(2, -1)[:, at].T.reshape(-1)  # base and mark of each word, in turn
-        starts, each = (np.cumsum(sizes) - sizes)[at], sizes[at]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        ids = table[np.repeat(starts - ends[:-1], each) + np.arange(ends[-1])]
-        return ids, ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        starts, each = (np.cumsum(sizes, dtype=np.int32) - sizes)[at], sizes[at]
+        ends = np.zeros(len(at) + 1, np.int32)  # a slice has far fewer ids than 2 ** 31
+        np.cumsum(each, out=ends[1:])
+        starts -= ends[:-1]
+        place = np.repeat(starts, each)
+        place += np.arange(len(place), dtype=np.int32)
+        return table[place], ends[2 * lists]
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -122,6 +127,8 @@ def _tokenised(path: str, capacity: int):
                         for column, value in zip(out, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                del ids, data, out
+        trim()
 
     return run
 
@@ -285,6 +292,7 @@ def _placed(runs: np.ndarray):
     keys = (runs[:, 0] << 44) + runs[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
             at = np.searchsorted(keys, (length << 44) + rank, side="right") - 1

@@ -44,7 +44,7 @@ WINDOW, REPORTED = 8, 4
 REPORTING = frozenset("said says say called calls quote quoted quotes wrote writes word words term phrase slur insult dit disait écrit mot sagte schrieb wort dijo escribió palabra".split())
 QUOTED = 0.5
 #: Words that a worker remembers the verdict of.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = "\"“”«»„‘’'"
@@ -289,6 +289,7 @@ def scores(model: Model, text: Column) -> Column:
             found = [matcher.features(t or "") for t in part]
             rows = np.array([f for f, _ in found]).reshape(-1, 5)
             yield pd.DataFrame({"score": _score(model, rows), "n_hits": np.array([n for _, n in found], np.int32)})
+        trim()
 
     return score(text)
 
