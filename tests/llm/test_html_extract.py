@@ -36,6 +36,15 @@ def test_blocks(source, blocks):
     assert texts(source) == blocks
 
 
+def test_every_word_counts():
+    """Blocks that differ in a word after the 64th, or the 2000th, alone have other word features."""
+    words = lambda block: x.Blocks(f"<p>{block}</p>").vectors()[0, x.PATH : x.PATH + x.WORDS]
+    for n in (70, 2001):
+        same = "plain " * n
+        assert (words(same + "alpha") != words(same + "gamma")).any()
+        assert (words(same + "alpha alpha") != words(same + "alpha plain")).any()
+
+
 def test_gradients_are_the_slopes():
     rng = np.random.default_rng(0)
     net = x.Labeller(1)
