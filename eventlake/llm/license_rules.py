@@ -1,11 +1,12 @@
 """Signature rules for license scans: an ordered table of regexes, each with a keyword, a label and a priority.
 
 Each line of FAMILIES is written by hand: label, SPDX ids, keyword, names and web addresses. Every line gives a rule for
-its SPDX tags, one for its addresses, one for notices that grant something under it, and one for its bare names.
+its SPDX tags, one for each of its addresses, one for notices that grant something under it, and one for its bare names.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 #: label | SPDX ids (regex) | keyword in lower case, without which no name can match | names (regex) | addresses (regex)
@@ -98,6 +99,11 @@ class Rule:
     priority: int
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """A regex cut at the bars that stand in no brackets."""
+    return re.findall(r"(?:\((?:[^()]|\([^()]*\))*\)|[^|()])+", pattern)
+
+
 def rules() -> list[Rule]:
     """All rules, in order: of equal detections the earlier rule stays."""
     out = []
@@ -105,7 +111,9 @@ def rules() -> list[Rule]:
         label, spdx, keyword, names, addresses = (x.strip() for x in line.split(" | "))
         version = r"(?:,? (?:version |v\.? ?)?\d+(?:\.\d+)*(?: or (?:any )?later(?: version)?)?)?"
         out.append(Rule("spdx", rf"(?i)\bSPDX-License-Identifier: *\(?(?:{spdx})(?![\w.+-])", label, TAG))
-        out.append(Rule(addresses.split("/")[0].replace("\\", "").split("|")[0].lower(), rf"(?i)https?://(?:www\.)?(?:{addresses})[^\s<>\"')]*", label, TAG))
+        for address in _alternatives(addresses):
+            host = address.split("/")[0].replace("\\", "").lower()
+            out.append(Rule(host, rf"(?i)https?://(?:www\.)?(?:{address})[^\s<>\"')]*", label, TAG))
         out.append(Rule(keyword, rf"(?i)\b(?:licen[cs]ed|released|distributed|available|published|covered|governed|provided) (?:under|by) (?:the )?(?:terms of (?:the )?)?(?:{names}){version}", label, GRANT))
         out.append(Rule(keyword, rf"(?i)(?<!{WORD})(?:{names}){version}(?!{WORD})", label, NAME))
     for label, words in PHRASES:

@@ -97,6 +97,18 @@ def test_gates_let_every_detection_through(spark):
             assert any(g in TEXTS[r.doc_id].lower() for g in GATES)
 
 
+ADDRESSES = [("https://mit-license.org", "mit"), ("https://opensource.org/licenses/zlib", "zlib"), ("https://opensource.org/licenses/artistic", "artistic")]
+
+
+def labels_of(spark, texts):
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.digest(license_scan.scan(docs(spark, list(enumerate(texts))))).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_each_address_alone(spark):
+    assert labels_of(spark, [t for t, _ in ADDRESSES]) == [[label] for _, label in ADDRESSES]
+
+
 def test_no_python_in_the_plan(spark):
     plan = license_scan.digest(license_scan.scan(docs(spark, [(1, "a")])))._jdf.queryExecution().toString()
     assert not re.search("EvalPython|MapIn|FlatMapGroups|PythonUDF|pythonUDF", plan)
