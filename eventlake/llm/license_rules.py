@@ -1,7 +1,8 @@
 """Signature rules for license scans: an ordered table of regexes, each with a keyword, a label and a priority.
 
-Each line of FAMILIES is written by hand: label, SPDX ids, keyword, names and web addresses. Every line gives a rule for
-its SPDX tags, one for each of its addresses, one for notices that grant something under it, and one for its bare names.
+Each line of FAMILIES is written by hand: label, SPDX ids, keywords, names and web addresses. Every line gives a rule for
+its SPDX tags, one for each of its addresses, and for the names that hold a keyword one for notices that grant something under
+them and one for the bare names. A rule's keyword is in all that its pattern matches, and so is its gate.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-#: label | SPDX ids (regex) | keyword in lower case, without which no name can match | names (regex) | addresses (regex)
+#: label | SPDX ids (regex) | keywords in lower case, of which every name has one | names (regex) | addresses (regex)
 FAMILIES = (
     r"agpl | AGPL-[13]\.0(?:-only|-or-later)? | affero | (?:gnu )?affero general public licen[cs]e | gnu\.org/licenses/agpl",
     r"lgpl | LGPL-(?:2\.[01]|3\.0)(?:-only|-or-later|\+)? | lesser | (?:gnu )?lesser general public licen[cs]e | gnu\.org/licenses/lgpl|gnu\.org/copyleft/lesser",
@@ -38,12 +39,12 @@ FAMILIES = (
     r"zlib | Zlib | zlib | zlib(?:/libpng)? licen[cs]e | zlib\.net/zlib_license|opensource\.org/licenses/zlib",
     r"libpng | Libpng | libpng | libpng licen[cs]e | libpng\.org/pub/png/src/libpng-license",
     r"unlicense | Unlicense | unlicense | the unlicense|unlicense\.txt | unlicense\.org",
-    r"wtfpl | WTFPL | wtfpl | wtfpl|do what the fuck you want to public licen[cs]e | wtfpl\.net",
+    r"wtfpl | WTFPL | wtfpl|do what the fuck | wtfpl|do what the fuck you want to public licen[cs]e | wtfpl\.net",
     r"0bsd | 0BSD | zero-clause | zero-clause bsd licen[cs]e|bsd zero-clause | opensource\.org/licenses/0bsd",
     r"python | PSF-2\.0|Python-2\.0 | python | python software foundation licen[cs]e | python\.org/(?:psf/license|download/releases/[0-9.]+/license)",
     r"php | PHP-3\.0?1? | php | php licen[cs]e | php\.net/license",
     r"ruby | Ruby | ruby | ruby licen[cs]e | ruby-lang\.org/[a-z/]*license",
-    r"perl | Artistic-1\.0-Perl | perl | same terms as perl(?: itself)? | dev\.perl\.org/licenses",
+    r"perl | Artistic-1\.0-Perl | same terms as perl | same terms as perl(?: itself)? | dev\.perl\.org/licenses",
     r"postgresql | PostgreSQL | postgresql | postgresql licen[cs]e | postgresql\.org/about/licence",
     r"openssl | OpenSSL | openssl | openssl licen[cs]e | openssl\.org/source/license",
     r"ofl | OFL-1\.[01] | open font | (?:sil )?open font licen[cs]e | scripts\.sil\.org/ofl",
@@ -51,11 +52,11 @@ FAMILIES = (
     r"odc-by | ODC-By-1\.0 | open data commons | open data commons attribution licen[cs]e | opendatacommons\.org/licenses/by",
     r"pddl | PDDL-1\.0 | public domain dedication | public domain dedication and licen[cs]e | opendatacommons\.org/licenses/pddl",
     r"cc0 | CC0-1\.0 | cc0 | cc0(?: 1\.0)?(?: universal)? | creativecommons\.org/publicdomain/zero",
-    r"cc-by-nc-nd | CC-BY-NC-ND-[1-4]\.[05] | nd | (?:cc|creative commons)[ -]by-nc-nd | creativecommons\.org/licenses/by-nc-nd",
-    r"cc-by-nc-sa | CC-BY-NC-SA-[1-4]\.[05] | sa | (?:cc|creative commons)[ -]by-nc-sa | creativecommons\.org/licenses/by-nc-sa",
-    r"cc-by-nc | CC-BY-NC-[1-4]\.[05] | nc | (?:cc|creative commons)[ -]by-nc|creative commons attribution-noncommercial | creativecommons\.org/licenses/by-nc/",
-    r"cc-by-nd | CC-BY-ND-[1-4]\.[05] | nd | (?:cc|creative commons)[ -]by-nd|creative commons attribution-noderivs? | creativecommons\.org/licenses/by-nd",
-    r"cc-by-sa | CC-BY-SA-[1-4]\.[05] | sa | (?:cc|creative commons)[ -]by-sa|creative commons attribution-share-?alike | creativecommons\.org/licenses/by-sa",
+    r"cc-by-nc-nd | CC-BY-NC-ND-[1-4]\.[05] | by-nc-nd | (?:cc|creative commons)[ -]by-nc-nd | creativecommons\.org/licenses/by-nc-nd",
+    r"cc-by-nc-sa | CC-BY-NC-SA-[1-4]\.[05] | by-nc-sa | (?:cc|creative commons)[ -]by-nc-sa | creativecommons\.org/licenses/by-nc-sa",
+    r"cc-by-nc | CC-BY-NC-[1-4]\.[05] | by-nc|noncommercial | (?:cc|creative commons)[ -]by-nc|creative commons attribution-noncommercial | creativecommons\.org/licenses/by-nc/",
+    r"cc-by-nd | CC-BY-ND-[1-4]\.[05] | by-nd|noderiv | (?:cc|creative commons)[ -]by-nd|creative commons attribution-noderivs? | creativecommons\.org/licenses/by-nd",
+    r"cc-by-sa | CC-BY-SA-[1-4]\.[05] | by-sa|attribution-share | (?:cc|creative commons)[ -]by-sa|creative commons attribution-share-?alike | creativecommons\.org/licenses/by-sa",
     r"cc-by | CC-BY-[1-4]\.[05] | creative commons | creative commons attribution(?: licen[cs]e)? | creativecommons\.org/licenses/by/",
     r"ms-pl | MS-PL | microsoft | microsoft public licen[cs]e | opensource\.org/licenses/ms-pl",
     r"ms-rl | MS-RL | microsoft | microsoft reciprocal licen[cs]e | opensource\.org/licenses/ms-rl",
@@ -83,9 +84,6 @@ PHRASES = (("gpl", "gnu general public license"), ("apache", "apache license"),
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-#: Of a lower-cased text; a text without any has no detection.
-GATES = ("licen", "spdx", "cc", "gnu.org", "opensource.org", "creative", "public domain", "unlicense", "wtfpl", "same terms as perl")
-
 #: Priorities: a detection inside another of at least its own priority is dropped.
 TAG, GRANT, NAME, PHRASE = 4, 3, 2, 1
 SCORES = {TAG: 1.0, GRANT: 0.95, NAME: 0.8, PHRASE: 0.6}
@@ -93,10 +91,13 @@ SCORES = {TAG: 1.0, GRANT: 0.95, NAME: 0.8, PHRASE: 0.6}
 
 @dataclass(frozen=True)
 class Rule:
+    """keyword and gate are in each match, lower-cased. A few gates, many rules each, tell texts without any match; none given: the keyword."""
+
     keyword: str
     pattern: str
     label: str
     priority: int
+    gate: str = ""
 
 
 def _alternatives(pattern: str) -> list[str]:
@@ -104,19 +105,38 @@ def _alternatives(pattern: str) -> list[str]:
     return re.findall(r"(?:\((?:[^()]|\([^()]*\))*\)|[^|()])+", pattern)
 
 
+def _must(alternative: str) -> str:
+    """A regex without its optional groups."""
+    return re.sub(r"\(\?:[^()]*\)\?", "", alternative)
+
+
+def gates(known: list[Rule]) -> tuple[str, ...]:
+    """Literals of which every match of a rule, lower-cased, has one: a text without any has no detection."""
+    found = {r.gate or r.keyword for r in known}
+    return tuple(sorted(g for g in found if not any(x != g and x in g for x in found)))
+
+
 def rules() -> list[Rule]:
     """All rules, in order: of equal detections the earlier rule stays."""
     out = []
     for line in FAMILIES:
-        label, spdx, keyword, names, addresses = (x.strip() for x in line.split(" | "))
+        label, spdx, keywords, names, addresses = (x.strip() for x in line.split(" | "))
         version = r"(?:,? (?:version |v\.? ?)?\d+(?:\.\d+)*(?: or (?:any )?later(?: version)?)?)?"
         out.append(Rule("spdx", rf"(?i)\bSPDX-License-Identifier: *\(?(?:{spdx})(?![\w.+-])", label, TAG))
         for address in _alternatives(addresses):
             host = address.split("/")[0].replace("\\", "").lower()
-            out.append(Rule(host, rf"(?i)https?://(?:www\.)?(?:{address})[^\s<>\"')]*", label, TAG))
-        out.append(Rule(keyword, rf"(?i)\b(?:licen[cs]ed|released|distributed|available|published|covered|governed|provided) (?:under|by) (?:the )?(?:terms of (?:the )?)?(?:{names}){version}", label, GRANT))
-        out.append(Rule(keyword, rf"(?i)(?<!{WORD})(?:{names}){version}(?!{WORD})", label, NAME))
+            out.append(Rule(host, rf"(?i)https?://(?:www\.)?(?:{address})[^\s<>\"')]*", label, TAG, "http"))
+        todo = _alternatives(names)
+        for keyword in keywords.split("|"):
+            own = [x for x in todo if keyword in _must(x)]
+            todo = [x for x in todo if x not in own]
+            some, gate = "|".join(own), "licen" if all("licen" in _must(x) for x in own) else keyword
+            out.append(Rule(keyword, rf"(?i)\b(?:licen[cs]ed|released|distributed|available|published|covered|governed|provided) (?:under|by) (?:the )?(?:terms of (?:the )?)?(?:{some}){version}", label, GRANT, gate))
+            out.append(Rule(keyword, rf"(?i)(?<!{WORD})(?:{some}){version}(?!{WORD})", label, NAME, gate))
     for label, words in PHRASES:
         first, *rest = words.split()
-        out.append(Rule(first, f"(?i)(?<!{WORD}){first}" + "".join(f"{GAP}+{w}" for w in rest) + f"(?!{WORD})", label, PHRASE))
+        out.append(Rule(first, f"(?i)(?<!{WORD}){first}" + "".join(f"{GAP}+{w}" for w in rest) + f"(?!{WORD})", label, PHRASE, "licen" if "license" in rest else first))
     return out
+
+
+GATES = gates(rules())

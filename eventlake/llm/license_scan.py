@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_rules import GATES, PHRASE, SCORES, WORD, Rule, rules
+from .license_rules import PHRASE, SCORES, WORD, Rule, gates, rules
 
 _SPAN = "array<struct<start:int,end:int,word:int,rule:int,label:string,priority:int>>"
 
@@ -86,7 +86,7 @@ def scan(docs: DataFrame, known: list[Rule] | None = None, id_col: str = "doc_id
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     gated = rows.withColumn("_low", F.lower("text"))
     gate = F.lit(False)
-    for word in GATES:
+    for word in gates(known):
         gate = gate | F.col("_low").contains(word)
     chosen = F.filter(_table(known), lambda r: F.contains(F.col("_low"), r["keyword"]))
     spans = F.when(gate, F.flatten(F.transform(chosen, lambda r: _spans(F.col("text"), r)))).otherwise(F.array().cast(_SPAN))

@@ -1,10 +1,11 @@
+import itertools
 import re
 
 import pytest
 from corpus import EDGES, docs, prose
 
 from eventlake.llm import license_scan
-from eventlake.llm.license_rules import GATES, PHRASES, rules
+from eventlake.llm.license_rules import FAMILIES, GATES, GRANT, PHRASES, Rule, rules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -97,6 +98,52 @@ def test_gates_let_every_detection_through(spark):
             assert any(g in TEXTS[r.doc_id].lower() for g in GATES)
 
 
+def shortest(parsed, more=0):
+    """Texts that a parsed regex matches: one for each way through its alternatives, optional parts left out, or taken once with `more`."""
+    out = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            ways = [chr(value)]
+        elif kind == "BRANCH":
+            ways = [x for part in value[1] for x in shortest(part, more)]
+        elif kind == "SUBPATTERN":
+            ways = shortest(value[3], more)
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+            ways = ["".join(x) for n in {value[0], min(value[1], value[0] + more)} for x in itertools.product(shortest(value[2], more), repeat=n)]
+        elif kind == "IN":
+            name, first = value[0]
+            ways = ["x" if str(name) == "NEGATE" else "7" if str(name) == "CATEGORY" else chr(first[0] if str(name) == "RANGE" else first)]
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT", "AT"), kind
+            ways = [""]
+        out = [a + b for a in out for b in ways]
+    return out
+
+
+def test_each_way_through_each_rule_holds_its_keyword_and_a_gate():
+    for rule in rules():
+        for text in itertools.chain.from_iterable(shortest(re._parser.parse(rule.pattern), more) for more in ((0,) if rule.priority == GRANT else (0, 1))):
+            assert re.fullmatch(rule.pattern, text), (rule, text)
+            assert rule.keyword in text.lower(), (rule, text)
+            assert any(g in text.lower() for g in GATES), (rule, text)
+
+
+def test_each_address_and_name_of_the_table_is_in_a_rule():
+    """Cutting a line into rules loses nothing of it."""
+    known = rules()
+    for line in FAMILIES:
+        label, _, _, names, addresses = (x.strip() for x in line.split(" | "))
+        for text in shortest(re._parser.parse(names)):
+            assert sum(bool(re.fullmatch(r.pattern, text)) for r in known if r.label == label and r.priority == 2), text
+        for text in shortest(re._parser.parse(addresses)):
+            assert any(re.fullmatch(r.pattern, f"https://{text}") for r in known if r.label == label), text
+
+
+ALONE = [
+    ("Released under BSD 3-Clause terms.", "bsd-3-clause"), ("bsd zero-clause", "0bsd"), ("https://www.mozilla.org/MPL/2.0/", "mpl"), ("http://eclipse.org/legal/epl-v10", "epl"), ("https://scripts.sil.org/OFL", "ofl"),
+    ("https://mariadb.com/bsl11", "busl"), ("https://perlfoundation.org/artistic", "artistic"), ("Creative Commons Attribution-NoDerivs", "cc-by-nd"), ("do what the fuck you want to public license", "wtfpl"),
+]
 ADDRESSES = [("https://mit-license.org", "mit"), ("https://opensource.org/licenses/zlib", "zlib"), ("https://opensource.org/licenses/artistic", "artistic")]
 
 
@@ -105,10 +152,19 @@ def labels_of(spark, texts):
     return [got[i] for i in range(len(texts))]
 
 
+def test_notices_without_other_words(spark):
+    for (text, label), got in zip(ALONE, labels_of(spark, [t for t, _ in ALONE]), strict=True):
+        assert label in got, text
+
+
 def test_each_address_alone(spark):
     assert labels_of(spark, [t for t, _ in ADDRESSES]) == [[label] for _, label in ADDRESSES]
 
 
+def test_other_rules_have_their_own_gates(spark):
+    assert license_scan.scan(docs(spark, [(1, "a foo b")]), [Rule("foo", "foo", "x", 2)]).first().detections[0].label == "x"
+
+
 def test_no_python_in_the_plan(spark):
     plan = license_scan.digest(license_scan.scan(docs(spark, [(1, "a")])))._jdf.queryExecution().toString()
     assert not re.search("EvalPython|MapIn|FlatMapGroups|PythonUDF|pythonUDF", plan)
