@@ -3,8 +3,8 @@
 The lexicon holds words and stems (word beginnings) that are far more frequent in toxic than in clean training texts, beside a
 short list of common insults. A stem matches every word that begins with it. Whole words of the lexicon are also matched with
 misspellings: a text's word runs through the product of the Levenshtein automata of all lexicon words, which is the trie walked
-with an edit budget; its states are made deterministic as they are met and kept. Matches in quotation marks or after
-reporting verbs count for less. Around each match, the weights of the matches in a window of words are summed; these sums, and
+with an edit budget; its states are made deterministic as they are met and kept. Matches in quotations (of any
+length within a paragraph) or after reporting verbs count for less. Around each match, the weights of the matches in a window of words are summed; these sums, and
 others over the text, go into a logistic regression that turns them into a probability.
 
 Training takes a bounded sample: SAMPLE labelled rows of either class, picked by a hash of their ids. Scoring reads every row.
@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -48,6 +49,36 @@ CACHED_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = "\"“”«»„‘’'"
+#: Marks, and ends of paragraphs, in which no quotation stays open.
+_MARKS = re.compile(r"""["“”«»„‘’']|\n[^\S\n]*\n""")
+#: Mark -> the marks that it closes a quotation of; those that are an apostrophe between letters, and those that never open one.
+_CLOSES = {'"': '"', "”": "“„”", "“": "„", "»": "«", "«": "»", "’": "‘", "'": "'", "„": "", "‘": ""}
+_SINGLE, _ONLY_CLOSE = "‘’'", "’"
+
+
+def quotations(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the quotations of a text, of any number of words: in order and apart, those inside others left out."""
+    spans: list[tuple[int, int]] = []
+    opened: dict[str, int] = {}
+    for m in _MARKS.finditer(text):
+        mark, at = m[0], m.start()
+        if mark[0] == "\n":
+            opened.clear()
+            continue
+        before, after = text[at - 1 : at], text[at + 1 : at + 2]
+        mate = next((x for x in _CLOSES[mark] if x in opened), None)
+        if mate and not (mark in _SINGLE and (before.isspace() or after.isalnum())):
+            spans.append((opened.pop(mate), at))
+        elif mark not in _ONLY_CLOSE and not (mark in _SINGLE and (before.isalnum() or not after or after.isspace())):
+            opened[mark] = at
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
 
 
 @dataclass
@@ -180,11 +211,14 @@ class Matcher:
             return [0.0] * 5, 0
         spots = []
         low = text.lower()
+        starts, ends = quotations(low)
         for i, m in enumerate(_WORD.finditer(low)):
             hit = known[m[0]]
             if hit:
                 before, after = low[m.start() - 1 : m.start()], low[m.end() : m.end() + 1]
                 near = bool(before and after) and before in _QUOTES and after in _QUOTES
+                k = bisect_right(starts, m.start()) - 1
+                near = near or (k >= 0 and m.start() < ends[k])
                 told = not REPORTING.isdisjoint(words[max(0, i - REPORTED) : i])
                 spots.append((i, hit[0] * (QUOTED if near or told else 1.0), hit[1], m[0]))
         exact, fuzzy = sum(w for _, w, f, _ in spots if not f), sum(w for _, w, f, _ in spots if f)

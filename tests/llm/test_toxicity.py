@@ -95,3 +95,15 @@ def test_held_out_accuracy(spark):
     right = sum((s >= 0.5) == bool(t) for s, t in got)
     assert right / len(got) > 0.97
     assert sum(s >= 0.5 and t for s, t in got) / max(1, sum(s >= 0.5 for s, _ in got)) > 0.95
+
+
+def test_quotations_of_several_words():
+    matcher = toxicity.Matcher(toxicity.Model(toxicity.lexicon([], [])))
+    worth = lambda text: matcher.features(text)[0][0]
+    plain = worth("you are a stupid fool now")
+    for text in ('"you are a stupid fool" now', "“you are a stupid fool” now", "„you are a stupid fool“ now", "«you are a stupid fool» now", "‘you’re a stupid fool’ now", "'you aren't a stupid fool' now", '"you are\na “stupid” fool" now'):
+        assert worth(text) < plain, text
+    for text in ("don't be a stupid fool, can't you", '"yes" a stupid fool "no"', 'a 5" stupid fool', '"open\n\nstupid fool" now', "the dogs' stupid fool isn't"):
+        assert worth(text) == plain, text
+    half = worth('"stupid" fool')
+    assert half == worth('"so very stupid" you fool')
