@@ -1,6 +1,6 @@
 """URL filters: host and path rules, and a logistic regression on hashed character n-grams for the rest.
 
-The regression is trained on a small labelled table of URLs (LABELLED, or any other that is given) and broadcast
+The regression is trained on a small labelled table of URLs (labelled(), or any other that is given) and broadcast
 as one vector of fixed length. Rules, host and path are plain column expressions.
 """
 
@@ -18,37 +18,69 @@ from pyspark.sql import functions as F
 #: (verdict, host, path): a rule holds for its host and all subdomains, and paths that begin with its path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-#: Words of hosts or paths that are made into the labelled table: label 1 is to be blocked.
-BLOCKED_WORDS = (
-    "casino", "casino-win", "bet", "free-bets", "bets-online", "poker", "jackpot", "slots", "lottery-win", "pills", "cheap-pills", "pharma-discount",
-    "viagra", "replica-watches", "ads", "ads-track", "adserver", "click-track", "tracker", "popunder", "spam", "spam-farm", "link-farm", "seo-farm",
-    "payday-loan", "quick-loans", "crypto-double", "free-money", "win-prize", "xxx", "porn", "adult-cams", "escort", "warez", "torrent-free", "keygen",
-    "crack-download", "phish-login", "malware", "free-gift", "cheap-meds", "work-from-home-cash", "hot-singles", "fake-id", "bonus-spins", "essay-mill",
-    "adult", "adult-video", "adult-dating", "bets", "bet-now", "diet-pills", "spam-mail", "win-casino", "click-ads", "popup-ads",
-)
-ALLOWED_WORDS = (
-    "news", "blog", "docs", "wiki", "university", "library", "research", "archive", "science", "history", "garden", "kitchen", "recipes", "travel",
-    "music", "school", "museum", "city", "weather", "health", "forum", "code", "developer", "manual", "guide", "journal", "press", "books", "maps",
-    "theory", "nature", "sports", "culture", "family", "energy", "language", "mathematics", "physics", "art", "photo", "theatre", "railway", "river",
-    "station", "nation", "edition", "theorem", "thread", "northern", "weather-report", "leather", "brother", "translation", "other", "together",
-    "anthology", "earth", "ninth", "then", "shelter", "stone", "ribbon", "entrance", "the-times", "thought", "month", "length", "methods", "growth",
-    "path", "north-shore", "southern", "atlantic", "want", "planet", "student", "content", "continent", "instant", "strategy", "statistics", "latest",
-    "justice", "forest", "interest", "thousand", "sandwich", "island", "england", "standard", "handbook", "hand-made", "channel", "analysis", "finance",
-    "parents", "events", "comments", "patents", "restaurant", "hotels", "maritime", "painting", "building", "thinking", "reading", "training", "evening",
-    "action", "education", "foundation", "national", "international", "tradition", "solution", "opinion", "region", "union", "season", "lesson", "person",
-)
+#: Stems of the labelled table; no host of a given table is among them.
+BLOCKED_STEMS = (
+    "casino poker roulette blackjack jackpot slots bingo lottery lotto betting bet bets wager gambling sportsbook viagra cialis pills pill pharma meds steroids tramadol xanax "
+    "slimming dietpill payday loan loans forex bitcoin crypto ponzi cash profit porn porno xxx sex sexy adult nude escort cams camgirl hentai milf hookup singles fetish warez "
+    "torrent crack cracked keygen serialz nulled cheats replica rolex fake counterfeit spam spammer malware phish phishing trojan ransom hacked ads adserver advert banner popup "
+    "popunder tracker track tracking pixel click clicks clickbait affiliate promo seo backlink backlinks linkfarm traffic followers likes giveaway prize winner sweepstake freebie bonus coupon cheap discount"
+).split()
+ALLOWED_STEMS = (
+    "news blog docs wiki university library research archive science history garden kitchen recipe travel music school museum city weather health forum code developer manual guide "
+    "journal press book map theory nature sport culture family energy language mathematics physics art photo theatre railway river station nation edition theorem thread northern "
+    "leather brother translation other together anthology earth ninth shelter stone ribbon entrance times thought month length method growth path shore southern atlantic planet "
+    "student content continent instant strategy statistic justice forest interest thousand sandwich island england standard handbook channel analysis finance parent event comment "
+    "patent restaurant hotel maritime painting building thinking reading training evening action education foundation national international tradition solution opinion region union "
+    "season lesson person village bridge mountain ocean animal bird flower tree food bread coffee tea cycling running football chess film cinema radio camera design paper "
+    "letter poem novel author teacher doctor hospital dentist lawyer court council parliament minister police fire church temple bank market shop store house home street road "
+    "transport bus train flight airport harbour ship boat car engine motor tool wood metal glass fabric fashion shoe hat clock lamp furniture chemistry biology geology astronomy space"
+).split()
+#: Both kinds of stems are put together with the same parts, so that a part tells nothing.
+BEFORE = ("", "best", "my", "the", "top", "all", "go", "new", "mega", "net", "free", "one")
+AFTER = ("", "s", "hub", "online", "world", "24", "zone", "page", "land", "club", "365", "center", "now", "point")
+FORMS = 8
+#: Paths of either kind; n is a number, word another of the same kind.
+BLOCKED_PATHS = ("go/{n}", "click/{n}", "{word}/signup-bonus", "offer/{word}-{n}", "{word}/free-trial", "order-now/{n}", "vip/{word}", "download/{word}.exe", "live/{word}/join", "win/{n}", "deal/{word}", "{word}{n}")
+ALLOWED_PATHS = ("2019/05/{word}", "about", "articles/{n}", "{word}.html", "docs/{word}/", "category/{word}/{n}", "tag/{word}", "wiki/{word}", "contact", "{word}/{n}/", "en/{word}-{n}.html", "{word}{n}")
+NAMES = 600
 BITS, NGRAMS = 16, (3, 4, 5)
-EPOCHS, RATE, DECAY = 1000, 0.5, 1e-4
+EPOCHS, RATE, DECAY = 150, 0.05, 2e-6
+
+
+def words(stems: list[str]) -> list[str]:
+    """FORMS words of each stem: itself, and with parts before or after it."""
+    out = {}
+    for i, stem in enumerate(stems):
+        for k in range(FORMS):
+            n = i * FORMS + k
+            before, after = (BEFORE[(7 * n) % len(BEFORE)] if k % 2 else ""), (AFTER[(5 * n) % len(AFTER)] if k % 4 != 1 and k else "")
+            joint = "-" if n % 3 == 0 else ""
+            out["".join((before and before + joint, stem, after and (joint if len(after) > 2 else "") + after))] = None
+    return list(out)
+
+
+def names(count: int = NAMES) -> list[str]:
+    """Invented names of two or three syllables, as many sites have: nothing known speaks against them."""
+    out = []
+    for i in range(count):
+        n = zlib.crc32(f"name {i}".encode())
+        out.append("".join("bcdfghklmnprstvwz"[(n >> 8 * k) % 17] + "aeiou"[(n >> 8 * k + 4) % 5] + ("", "n", "r", "s", "l", "th")[(n >> 8 * k + 2) % 6] for k in range(2 + i % 2)))
+    return out
 
 
-def labelled() -> list[tuple[str, int]]:
-    """The small labelled table: each word as a host under a few prefixes and domains, and some as a path."""
+def labelled(blocked: list[str] | None = None, allowed: list[str] | None = None) -> list[tuple[str, int]]:
+    """The small labelled table: each word as a host under prefixes and domains, beside another of its kind, and as a path. 1 is to be blocked."""
     rows = []
-    for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
-        for i, word in enumerate(words):
-            for k, prefix in enumerate(("", "www.", "m.", "blog.")):
-                rows.append((f"https://{prefix}{word}.example.{('com', 'org', 'net')[(i + k) % 3]}/{('en', 'de', 'fr', 'es')[(i + k) % 4]}/{37 * i % 900}", label))
-            rows.append((f"http://www.site{i % 7}.example.com/{word}/{i}.html", label))
+    given = words(ALLOWED_STEMS) + names() if allowed is None else allowed
+    for label, known, paths in ((1, words(BLOCKED_STEMS) if blocked is None else blocked, BLOCKED_PATHS), (0, given, ALLOWED_PATHS)):
+        for i, word in enumerate(known):
+            other = known[(i * 31 + 17) % len(known)]
+            domain, plain = ("com", "org", "net")[i % 3], f"{('en', 'de', 'fr', 'es')[i % 4]}/{37 * i % 900}{('', '.html', '/', '?ref=x')[i // 4 % 4]}"
+            rows += [
+                (f"https://{('', 'www.', 'm.', 'blog.')[i % 4]}{word}.example.{domain}/{plain}", label),
+                (f"http://{('www.', '')[i % 2]}{word}-{other}.example.{domain}/{paths[i % len(paths)].format(n=i, word=other)}", label),
+                (f"https://www.site{i % 7}.example.{domain}/{word}/{paths[(i + 3) % len(paths)].format(n=i, word=other)}", label),
+            ]
     return rows
 
 
@@ -95,20 +127,23 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def train(rows: list[tuple[str, int]]) -> tuple[np.ndarray, float]:
-    """Weights (2 ** BITS) and bias, by gradient steps over the whole small table."""
-    weights, bias = np.zeros(1 << BITS), 0.0
+    """Weights (2 ** BITS) and bias, by Adam over the whole small table."""
+    both = np.zeros((1 << BITS) + 1)
     if not rows:
-        return weights, bias
+        return both[:-1], 0.0
     sets = [np.fromiter(features(*split_url(u)), np.int64) for u, _ in rows]
     at, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     scale = 1 / np.sqrt(np.maximum(1, [len(x) for x in sets]))
     y = np.array([label for _, label in rows], float)
-    for _ in range(EPOCHS):
-        z = np.bincount(of, weights[at], len(rows)) * scale + bias
-        error = (1 / (1 + np.exp(-z)) - y) * scale
-        weights -= RATE * (np.bincount(at, error[of], 1 << BITS) / len(rows) * 20 + DECAY * weights)
-        bias -= RATE * float((error / scale).mean())
-    return weights, bias
+    share = 1 / len(y)
+    first, second = np.zeros_like(both), np.zeros_like(both)
+    for step in range(1, EPOCHS + 1):
+        z = np.bincount(of, both[at], len(rows)) * scale + both[-1]
+        error = (1 / (1 + np.exp(-z)) - y) * share
+        slope = np.append(np.bincount(at, (error * scale)[of], 1 << BITS), error.sum()) + DECAY * np.append(both[:-1], 0)
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope * slope
+        both -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
+    return both[:-1], float(both[-1])
 
 
 @lru_cache(maxsize=4)

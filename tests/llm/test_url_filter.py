@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,15 +47,45 @@ def test_empty(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
-def test_regression_on_held_out_urls():
-    """Trained on two thirds of the table, it tells nearly all of the rest: known words at other hosts, under other paths."""
-    rows = url_filter.labelled()
-    weights, bias = url_filter.train([r for i, r in enumerate(rows) if i % 3])
-    right = 0
-    for url, label in rows[::3]:
+def held_out(blocked, allowed, test_blocked, test_allowed):
+    """(accuracy, recall of blocked) on URLs of the test words, trained on those of the others."""
+    weights, bias = url_filter.train(url_filter.labelled(blocked, allowed))
+    rows = url_filter.labelled(test_blocked, test_allowed)
+    hits = []
+    for url, label in rows:
         at = list(url_filter.features(*url_filter.split_url(url)))
-        right += (weights[at].sum() / len(at) ** 0.5 + bias > 0) == label
-    assert right / len(rows[::3]) > 0.9
+        hits.append((label, int(weights[at].sum() / max(1, len(at)) ** 0.5 + bias > 0)))
+    return sum(a == b for a, b in hits) / len(hits), sum(b for a, b in hits if a) / sum(a for a, _ in hits)
+
+
+def folds(words, k):
+    mine = [w for w in words if zlib.crc32(w.encode()) % 5 == k]
+    return [w for w in words if w not in set(mine)], mine
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_regression_on_words_not_trained_on(k):
+    """No word of the held-out URLs is in a training URL, as host or as path; their stems are, with other parts."""
+    (blocked, test_blocked), (allowed, test_allowed) = folds(url_filter.words(url_filter.BLOCKED_STEMS), k), folds(url_filter.words(url_filter.ALLOWED_STEMS) + url_filter.names(), k)
+    assert not {*blocked, *allowed} & {*test_blocked, *test_allowed}
+    accuracy, recall = held_out(blocked, allowed, test_blocked, test_allowed)
+    assert accuracy > 0.95
+    assert recall > 0.9
+
+
+def test_regression_on_stems_not_trained_on():
+    """Of words that share no stem with the table, only paths and what languages share can tell: clean ones are left alone."""
+    (blocked, test_blocked), (allowed, test_allowed) = folds(url_filter.BLOCKED_STEMS, 1), folds(url_filter.ALLOWED_STEMS, 1)
+    accuracy, recall = held_out(url_filter.words(blocked), url_filter.words(allowed) + url_filter.names(), url_filter.words(test_blocked), url_filter.words(test_allowed))
+    assert accuracy > 0.85
+    assert recall > 0.6
+
+
+def test_very_long_urls(spark):
+    urls = ["https://" + "a" * 300_000 + ".example.org/x", "https://casino.example.org/" + "casino-jackpot/" * 20_000, "https://library.example.org/" + "reading-room/" * 20_000]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert [len(got[i].host) + len(got[i].path) for i in range(3)] == [len(u) - 8 for u in urls]
+    assert [got[i].verdict for i in (1, 2)] == ["block", "allow"]
 
 
 @pytest.mark.parametrize(("url", "verdict"), [("https://www.cheap-pills.example.org/x", "block"), ("https://mega-casino.example.org/x", "block"), ("https://library.example.org/en/2", "allow"), ("https://blog.history.example.org/", "allow")])
