@@ -54,6 +54,9 @@ class Config:
     def silver_hour(self, hour: datetime) -> str:
         return f"{self.silver}/{partition(hour)}"
 
+    def metric_file(self, kind: str, hour: datetime) -> str:
+        return f"{self.metrics}/{hour:date=%Y-%m-%d}/{kind}_hour={hour:%H}.json"
+
 
 #: Environment variable by setting.
 ENVIRONMENT = {

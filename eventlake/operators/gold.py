@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -64,14 +64,19 @@ def repo_activity_daily(events: DataFrame) -> DataFrame:
     )
 
 
-def trending_repos(activity: DataFrame, min_daily_events: int, min_baseline: float) -> DataFrame:
+def first_day(rows: DataFrame) -> Column:
+    """The first day of a table as a scalar subquery. Of events it is one narrow scan; from the activity of a plan it would be made anew."""
+    return rows.agg(F.min("event_date")).scalar()
+
+
+def trending_repos(activity: DataFrame, min_daily_events: int, min_baseline: float, first: Column | None = None) -> DataFrame:
     """Human events of a day against a seventh of those of the seven days before.
 
     A day is complete if seven days of the whole data lie before it. It is scored if it is complete and its baseline
     reaches the floor; a zero baseline has no score. Quiet days and those of one actor go last, as they are part of
-    other days' baselines.
+    other days' baselines. `first` is the first day of all, the activity's own unless given.
     """
-    first = activity.agg(F.min("event_date")).scalar()
+    first = first_day(activity) if first is None else first
     past = F.sum("human_events").over(trailing_days(BASELINE_DAYS, F.col("event_date"), "repo_name"))
     rows = activity.select("event_date", "repo_name", "human_events", "human_actors").withColumn("baseline_7d", past / F.lit(float(BASELINE_DAYS)))
     rows = rows.withColumn("window_complete", F.datediff("event_date", first) >= BASELINE_DAYS)

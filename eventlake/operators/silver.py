@@ -50,8 +50,17 @@ def dedup(events: DataFrame) -> DataFrame:
     return events.distinct()
 
 
+def _judge_anew(store: Store, cfg: Config, hours: list[datetime]) -> None:
+    """Withdraws what the quality gate said of hours that are about to be replaced: a pass was of the old rows."""
+    for hour in hours:
+        store.delete(cfg.metric_file("quality_gate", hour))
+
+
 def transform_hour(spark: SparkSession, cfg: Config, hour: datetime) -> TransformResult:
-    """Replaces one hour of silver: staged beside it, then moved into its place; running it again gives the same."""
+    """Replaces one hour of silver: staged beside it, then moved into its place; running it again gives the same.
+
+    An earlier pass of the quality gate goes before the new rows come.
+    """
     began, store, target = time.monotonic(), Store(spark), cfg.silver_hour(hour)
     if not store.exists(cfg.bronze_file(hour)):
         raise tables.BronzeNotFoundError(cfg.bronze_file(hour))
@@ -60,6 +69,7 @@ def transform_hour(spark: SparkSession, cfg: Config, hour: datetime) -> Transfor
     staged = store.staging(target)
     try:
         dedup(rows).observe(made, F.count(F.lit(1)).alias("n")).write.parquet(staged)
+        _judge_anew(store, cfg, [hour])
         store.publish(staged, target)
     except Exception:
         store.delete(staged)
@@ -76,11 +86,11 @@ def transform_hours(spark: SparkSession, cfg: Config, hours: list[datetime]) ->
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    made = Observation()
+    made, store = Observation(), Store(spark)
+    _judge_anew(store, cfg, hours)
     rows = dedup(parse(tables.bronze_hours(own, cfg, hours), "date", "hour")).hint("rebalance", "date", "hour")
     rows.observe(made, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("date", "hour").parquet(cfg.silver)
     there = {(r["date"], r["hour"]) for r in tables.silver(own, cfg, hours).select("date", "hour").distinct().collect()} if made.get["n"] else set()
-    store = Store(spark)
     for hour in hours:
         if (hour.strftime("%Y-%m-%d"), hour.strftime("%H")) not in there:
             staged = store.staging(f"{cfg.silver}/{partition(hour)}")

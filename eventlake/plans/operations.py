@@ -18,7 +18,7 @@ log = logging.getLogger(__name__)
 
 def record(spark: SparkSession, cfg: Config, kind: str, hour: datetime, **values) -> str:
     """One JSON object for a kind and hour; a later run replaces it."""
-    path = f"{cfg.metrics}/{hour:date=%Y-%m-%d}/{kind}_hour={hour:%H}.json"
+    path = cfg.metric_file(kind, hour)
     entry = {"kind": kind, "hour": hour.strftime("%Y-%m-%dT%H:%M:%S"), "recorded_at": datetime.now(UTC).isoformat(), **values}
     Store(spark).write(path, json.dumps(entry).encode() + b"\n")
     return path

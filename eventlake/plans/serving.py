@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -50,6 +50,12 @@ def type_order(types: DataFrame, top_n: int = 6) -> list[str]:
     return [r["type"] for r in top_types(types, top_n).collect()] + [OTHER]
 
 
+def in_order(spark: SparkSession, served: list) -> DataFrame:
+    """Served values or rows with their position, from 1, as a table again."""
+    plain = [x.asDict() if isinstance(x, Row) else {"name": x} for x in served]
+    return spark.createDataFrame([Row(position=i, **x) for i, x in enumerate(plain, 1)])
+
+
 def top_repos(activity: DataFrame, limit: int = 15) -> DataFrame:
     """Repositories by human events, of the days that more than one human acted on."""
     busy = activity.where(F.col("human_actors") >= 2)

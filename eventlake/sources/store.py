@@ -67,12 +67,45 @@ class Store:
         parent, _, name = target.rstrip("/").rpartition("/")
         return f"{parent}/.{name}-{uuid.uuid4().hex}"
 
+    def _replaced(self, target: str) -> list[str]:
+        """Where publish() has put what stood at the target, if it didn't come to its end."""
+        parent, _, name = target.rstrip("/").rpartition("/")
+        return [e.path for e in self.list(parent) if e.name.startswith(f".{name}-old-")]
+
+    def settled(self, target: str) -> str | None:
+        """Where the target's content is: in its place, or set aside by a publish() that is under way or was cut off; None if nowhere."""
+        if self.exists(target):
+            return target
+        old = self._replaced(target)
+        return target if self.exists(target) else old[0] if old else None
+
+    def recover(self, target: str) -> None:
+        """Ends a publish() that was cut off: what it had set aside comes back, or goes if the new one stands. For the target's only writer."""
+        for old in self._replaced(target):
+            if self.exists(target):
+                self.delete(old)
+            else:
+                self.move(old, target)
+
     def publish(self, staged: str, target: str) -> None:
-        """Puts the staged folder or file in the target's place; what stood there goes only when the new one stands."""
+        """Puts the staged folder or file in the target's place; what stood there goes only when the new one stands.
+
+        A file takes another's place in one step. Stores have no such step for folders, so between two renames the old folder is
+        hidden beside its place, where settled() finds it; after a crash there, the next run puts it back.
+        """
         self.make_folder(target.rstrip("/").rpartition("/")[0])
+        fs, p = self._at(staged)
+        if fs.getFileStatus(p).isFile():
+            options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+            options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+            context.rename(p, self._at(target)[1], options)
+            return
+        self.recover(target)
         old = None
         if self.exists(target):
-            old = self.staging(target)
+            parent, _, name = target.rstrip("/").rpartition("/")
+            old = f"{parent}/.{name}-old-{uuid.uuid4().hex}"
             self.move(target, old)
         try:
             self.move(staged, target)

@@ -52,14 +52,14 @@ def silver(spark: SparkSession, cfg: Config, hours: list[datetime] | None = None
 
 def silver_hour_as_it_is(spark: SparkSession, cfg: Config, hour: datetime) -> DataFrame | None:
     """One hour with the columns that its files have; None if it isn't there."""
-    path = cfg.silver_hour(hour)
-    return spark.read.parquet(path) if Store(spark).exists(path) else None
+    path = Store(spark).settled(cfg.silver_hour(hour))
+    return spark.read.parquet(path) if path else None
 
 
 def mart(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
-    path = f"{cfg.gold}/{name}"
-    if not Store(spark).exists(path):
-        raise GoldNotBuiltError(path)
+    path = Store(spark).settled(f"{cfg.gold}/{name}")
+    if path is None:
+        raise GoldNotBuiltError(f"{cfg.gold}/{name}")
     return spark.read.parquet(path)
 
 
@@ -76,5 +76,3 @@ def only_gated(events: DataFrame, records: DataFrame) -> DataFrame:
     passed = records.where(F.col("kind") == "quality_gate").select(F.col("hour").cast("timestamp_ntz").alias("_hour")).distinct()
     passed = passed.select(F.date_format("_hour", "yyyy-MM-dd").alias("date"), F.date_format("_hour", "HH").alias("hour"))
     return events.join(passed, ["date", "hour"], "left_semi")
-
-
