@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from .common import small_batches
 from .html_pages import page
 
-PATH, WORDS, MEASURES = 256, 32, 11
+#: A prime number of buckets: lengths of a power of two let frequent tags and names meet.
+PATH, WORDS, MEASURES = 521, 32, 11
 SIZE = PATH + WORDS + MEASURES
 HIDDEN = 16
-PAGES, EPOCHS, BATCH, RATE = 900, 10, 24, 0.01
-#: Blocks in one padded batch of pages.
-BLOCKS_AT_ONCE = 20_000
+PAGES, EPOCHS, BATCH, RATE = 2200, 12, 24, 0.01
+#: Blocks in one padded batch of pages; blocks whose whole vectors are there at once.
+BLOCKS_AT_ONCE, VECTORS_AT_ONCE = 20_000, 4096
 
 _RAW = frozenset("script style noscript template textarea svg math iframe object select title head".split())
 _TEXT_ONLY = frozenset("script style textarea title".split())
@@ -37,7 +38,10 @@ _BLOCK = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = _BLOCK - frozenset("br button body html img input ins label option".split())
-_SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",), "p": ()}
+#: A tag that ends an open one of its own name, unless one of these is open inside that.
+_SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
+#: An end tag doesn't reach over these, but for their own and the page's.
+_WALLS, _OVER = ("table", "article", "body"), frozenset(("article", "body", "html"))
 _MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -52,14 +56,69 @@ def _hash(token: str, size: int, seen: dict[str, int] = {}) -> int:  # noqa: B00
     return found % size
 
 
+class _Open:
+    """The elements that are open, and what a block needs to know of them, kept up as elements come and go: nothing walks over them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[int, ...]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.path: dict[int, int] = {}
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a name, or -1."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def push(self, tag: str, path: tuple[int, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, path))
+        for x in path:
+            self.path[x] = self.path.get(x, 0) + 1
+
+    def cut(self, place: int) -> None:
+        """Ends the element at a place, and all inside it."""
+        while len(self.stack) > place:
+            tag, path = self.stack.pop()
+            self.places[tag].pop()
+            if tag in _BLOCK:
+                self.blocks.pop()
+            for x in path:
+                if self.path[x] == 1:
+                    del self.path[x]
+                else:
+                    self.path[x] -= 1
+
+    def end(self, tag: str) -> None:
+        """An end tag: nothing, if no such element is open or a wall stands inside it."""
+        place = self.last(tag)
+        if place >= 0 and (tag in _OVER or place >= max(map(self.last, _WALLS))):
+            self.cut(place)
+
+    def begin(self, tag: str) -> None:
+        """What a start tag ends: a paragraph that is the innermost block, and an open sibling."""
+        if tag in _CLOSES_P and self.blocks and self.stack[self.blocks[-1]][0] == "p":
+            self.cut(self.blocks[-1])
+        if tag in _SIBLINGS:
+            place = self.last(tag)
+            if place > max(map(self.last, _SIBLINGS[tag])):
+                self.cut(place)
+
+    @property
+    def leaf(self) -> str:
+        return self.stack[self.blocks[-1]][0] if self.blocks else ""
+
+
 class Blocks:
-    """The leaf blocks of a page: texts, and a vector each."""
+    """The leaf blocks of a page: texts, and a vector each. The time is linear in the page, however its tags nest."""
 
     def __init__(self, source: str):
         self.texts: list[str] = []
         self.paths: list[tuple[int, ...]] = []
         self.leaves: list[tuple[str, int, int]] = []
-        stack: list[tuple[str, tuple[int, ...]]] = []
+        open_, never = _Open(), set()
         text: list[str] = []
         linked = 0
 
@@ -69,9 +128,8 @@ class Blocks:
                 whole = " ".join("".join(text).split())
                 if whole:
                     self.texts.append(whole)
-                    self.paths.append(tuple({x for _, p in stack for x in p}))
-                    leaf = next((t for t, _ in reversed(stack) if t in _BLOCK), "")
-                    self.leaves.append((leaf, linked, len(stack)))
+                    self.paths.append(tuple(open_.path))
+                    self.leaves.append((open_.leaf, linked, len(open_.stack)))
                 text.clear()
             linked = 0
 
@@ -80,17 +138,18 @@ class Blocks:
             if piece:
                 piece = entities.unescape(piece) if "&" in piece else piece
                 text.append(piece)
-                if any(t == "a" for t, _ in stack):
+                if open_.last("a") >= 0:
                     linked += len(piece)
 
-        at, end = 0, len(source)
+        at, end, last = 0, len(source), source.rfind(">")
         while at < end:
-            m = _MARK.search(source, at)
+            m = _MARK.search(source, at, last + 1) if at <= last else None
             if m is None:
-                add(source[at:])
+                rest = source.find("<!--", at)
+                add(source[at : rest if rest >= 0 else end])
                 break
             add(source[at : m.start()])
-            at = m.end()
+            at = m.end() if m[0][:4] != "<!--" or m[0].endswith("-->") else end
             tag = (m[2] or m[5] or "").lower()
             if not tag:
                 continue
@@ -98,47 +157,33 @@ class Blocks:
             if closing:
                 if tag in _BLOCK:
                     end_block()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in ("table", "article", "body") and tag not in ("article", "body", "html"):
-                        break
+                open_.end(tag)
                 continue
             if tag in _RAW:
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I)
-                done = close.search(source, at)
-                if tag == "head" and done is None:
-                    continue
-                at = done.end() if done else (end if tag in _TEXT_ONLY else at)
+                done = None if tag in never else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if done:
+                    at = done.end()
+                else:
+                    never.add(tag)  # nor is there one further on
+                    at = end if tag in _TEXT_ONLY else at
                 continue
             if tag in _BLOCK:
                 end_block()
-            if tag in _CLOSES_P:
-                self._close(stack, "p", ("table", "td", "button"))
-            if tag in _SIBLINGS and tag != "p":
-                self._close(stack, tag, _SIBLINGS[tag])
+            open_.begin(tag)
             if tag not in _VOID and not attrs.rstrip().endswith("/"):
                 tokens = [f"<{tag}"]
                 for found in _NAMED.finditer(attrs):
                     tokens += [f".{x}" for x in _PART.findall((found[1] or found[2] or found[3] or "").lower())]
-                stack.append((tag, tuple(_hash(x, PATH) for x in tokens)))
+                open_.push(tag, tuple({_hash(x, PATH) for x in tokens}))
         end_block()
 
-    @staticmethod
-    def _close(stack: list, tag: str, within: tuple[str, ...]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in within or (stack[i][0] in _BLOCK and tag == "p"):
-                return
-
-    def vectors(self) -> np.ndarray:
-        out = np.zeros((len(self.texts), SIZE), np.float32)
+    def vectors(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """The vectors of blocks first to last; of all unless told."""
         n = len(self.texts)
-        for i, (text, path, (leaf, linked, depth)) in enumerate(zip(self.texts, self.paths, self.leaves, strict=True)):
-            row = out[i]
+        last = n if last is None else min(n, last)
+        out = np.zeros((last - first, SIZE), np.float32)
+        for i in range(first, last):
+            text, path, (leaf, linked, depth), row = self.texts[i], self.paths[i], self.leaves[i], out[i - first]
             row[list(path)] = 1
             row[_hash(f"leaf {leaf}", PATH)] += 1
             words = text.lower().split()
@@ -167,12 +212,15 @@ class Labeller:
     def _sigmoid(x):
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
-    def _scan(self, x: np.ndarray, mask: np.ndarray, d: str, keep: bool):
-        """States (time, page, HIDDEN) of one direction over padded x (time, page, SIZE)."""
-        steps, pages, _ = x.shape
-        given = x @ self.p[f"x{d}"] + self.p[f"c{d}"]
-        h = c = np.zeros((pages, HIDDEN), x.dtype)
-        states, kept = np.zeros((steps, pages, HIDDEN), x.dtype), []
+    def given(self, x: np.ndarray, d: str) -> np.ndarray:
+        """What vectors (..., SIZE) give to the gates of one direction."""
+        return x @ self.p[f"x{d}"] + self.p[f"c{d}"]
+
+    def _scan(self, given: np.ndarray, mask: np.ndarray, d: str, keep: bool):
+        """States (time, page, HIDDEN) of one direction over padded inputs (time, page, 4 HIDDEN)."""
+        steps, pages, _ = given.shape
+        h = c = np.zeros((pages, HIDDEN), given.dtype)
+        states, kept = np.zeros((steps, pages, HIDDEN), given.dtype), []
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
             z = given[t] + h @ self.p[f"h{d}"]
             gates = self._sigmoid(z[:, : 3 * HIDDEN])
@@ -188,12 +236,16 @@ class Labeller:
             states[t] = h
         return states, kept
 
-    def probabilities(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._scan(x, mask, d, False)[0] for d in "fb"], axis=2)
+    def read(self, given: dict[str, np.ndarray], mask: np.ndarray) -> np.ndarray:
+        """Probabilities from what given() makes of either direction's vectors."""
+        both = np.concatenate([self._scan(given[d], mask, d, False)[0] for d in "fb"], axis=2)
         return self._sigmoid(both @ self.p["o"] + self.p["k"])
 
+    def probabilities(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        return self.read({d: self.given(x, d) for d in "fb"}, mask)
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        scans = {d: self._scan(x, mask, d, True) for d in "fb"}
+        scans = {d: self._scan(self.given(x, d), mask, d, True) for d in "fb"}
         both = np.concatenate([scans[d][0] for d in "fb"], axis=2)
         error = (self._sigmoid(both @ self.p["o"] + self.p["k"]) - y) * mask / max(1, mask.sum())
         out = {"o": (both * error[:, :, None]).sum(axis=(0, 1)), "k": np.array([error.sum()])}
@@ -278,8 +330,15 @@ def main_texts(net: Labeller, sources: list[str | None]) -> list[str]:
         lot = [order[at]]
         while at + len(lot) < len(order) and len(parsed[order[at + len(lot)]].texts) * (len(lot) + 1) <= BLOCKS_AT_ONCE:
             lot.append(order[at + len(lot)])
-        x, mask = _padded([parsed[i].vectors() for i in lot])
-        keep = net.probabilities(x, mask) >= 0.5
+        steps = len(parsed[lot[-1]].texts)
+        given, mask = {d: np.zeros((steps, len(lot), 4 * HIDDEN), np.float32) for d in "fb"}, np.zeros((steps, len(lot)), bool)
+        for k, i in enumerate(lot):
+            mask[: len(parsed[i].texts), k] = True
+            for first in range(0, len(parsed[i].texts), VECTORS_AT_ONCE):
+                x = parsed[i].vectors(first, first + VECTORS_AT_ONCE)
+                for d in "fb":
+                    given[d][first : first + len(x), k] = net.given(x, d)
+        keep = net.read(given, mask) >= 0.5
         for k, i in enumerate(lot):
             out[i] = " ".join(t for t, yes in zip(parsed[i].texts, keep[:, k], strict=False) if yes)
         at += len(lot)

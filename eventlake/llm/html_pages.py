@@ -21,6 +21,9 @@ NAMES = {
     "comments": "comments comment comment-list comment-body replies reply discussion responses disqus reactions feedback reader-comments".split(),
     "share": "share social social-share sharing follow like-buttons byline meta post-meta".split(),
 }
+#: Names of bodies and boxes around everything, and endings of the names of a part's own parts: they tell nothing of what is main text.
+OUTER = "home single page template theme no-js dark light layout wrapper container site app root inner main content content-area row col grid wide desktop logged-out lang-en front body index view section-news category-3 boxed".split()
+ENDINGS = ("title", "body", "inner", "wrap", "area", "item", "list", "text", "box", "content", "head", "main")
 TAGS = {"menu": ["nav"], "header": ["header"], "footer": ["footer"], "sidebar": ["aside"], "notice": ["aside", "dialog"], "advert": ["aside", "ins"], "form": ["form"], "comments": ["section", "aside"], "share": ["aside", "ul"]}
 #: Short texts that such parts have.
 PHRASES = {
@@ -79,9 +82,24 @@ class Page:
         if self.rng.random() > named:
             return self.rng.choice(["", "", f' class="c{self.rng.randint(1, 99)}"', ' class="row"', ' class="box"', ' id="wrap"'])
         name = self.rng.choice(NAMES[kind])
-        extra = self.rng.choice(["", "", " container", " col-8", " block", " js-x"])
+        extra = self.rng.choice(["", "", " container", " col-8", " block", " js-x", " " + self.rng.choice(OUTER), " " + self.invented()])
         return f' {self.rng.choice(["class", "class", "id"])}="{name}{extra}"'
 
+    def invented(self) -> str:
+        """A name that nobody has seen."""
+        return "".join(self.rng.choice("bcdfglmnprst") + self.rng.choice("aeiou") for _ in range(self.rng.randint(2, 4)))
+
+    def outer(self) -> str:
+        """Attributes of a body or of a box around everything."""
+        names = [self.rng.choice(OUTER) if self.rng.random() < 0.7 else self.invented() for _ in range(self.rng.randint(1, 3))]
+        return f' class="{" ".join(names)}"' if self.rng.random() < 0.7 else f' id="{names[0]}"'
+
+    def own(self, kind: str) -> str:
+        """Attributes of something inside a part: often the part's name with an ending."""
+        if self.rng.random() < 0.7:
+            return ""
+        return f' class="{self.rng.choice(NAMES[kind])}-{self.rng.choice(ENDINGS)}"' if self.rng.random() < 0.6 else f' class="{self.rng.choice([*ENDINGS, self.invented()])}"'
+
     def part(self, kind: str, meaning: float, named: float) -> None:
         """A part that isn't the article."""
         rng = self.rng
@@ -90,8 +108,10 @@ class Page:
         self.out.append(self.tag(tag, attrs))
         linked = {"menu": 0.95, "sidebar": 0.7, "footer": 0.4, "header": 0.3, "share": 0.6}.get(kind, 0.15)
         listed = tag == "ul" or rng.random() < {"menu": 0.8, "sidebar": 0.5, "comments": 0.3}.get(kind, 0.1)
+        if kind == "header" and rng.random() < 0.3:
+            self.part("menu", meaning, named)
         if listed and tag != "ul":
-            self.out.append("<ul>")
+            self.out.append(f"<ul{self.own(kind)}>")
         for _ in range(rng.randint(1, {"menu": 9, "sidebar": 7, "comments": 6, "footer": 4, "form": 5}.get(kind, 2))):
             long = {"comments": 0.7, "sidebar": 0.5, "advert": 0.7, "notice": 0.6, "footer": 0.5, "header": 0.4}.get(kind, 0.3)
             value = self.words(4, 30) if rng.random() < long else (rng.choice(PHRASES[kind]) if rng.random() < 0.6 else self.words(1, 3))
@@ -103,7 +123,7 @@ class Page:
                 self.out.append(f"{len(self.labels) - 1}{value}" if rng.random() > linked else f'<a href="#">{len(self.labels) - 1}{value}</a>')
                 self.out.append("<br>")
             else:
-                self.text(0, value, inner, link=rng.random() < linked)
+                self.text(0, value, inner, self.own(kind), link=rng.random() < linked)
         if listed and tag != "ul":
             self.out.append("</ul>")
         self.out.append(f"</{tag}>")
@@ -112,16 +132,19 @@ class Page:
         rng = self.rng
         tag = rng.choice(["article", "article", "main"]) if rng.random() < meaning else rng.choice(["div", "div", "section", "td"])
         self.out.append(self.tag(tag, self.attrs("article", named)))
-        inner = rng.random() < 0.25
-        if inner:
-            self.out.append(self.tag("div", self.attrs("article", named)))
+        inner = rng.random() < 0.4
+        late = inner and rng.random() < 0.4
+        if inner and not late:
+            self.out.append(self.tag("div", self.own("article") or self.attrs("article", named)))
         wrapped = rng.random() < 0.1
         if rng.random() < 0.85:
             self.out.append("<header>" if wrapped else "")
-            self.text(1, self.words(1, 14), rng.choice(["h1", "h1", "h2"]))
+            self.text(1, self.words(1, 14), rng.choice(["h1", "h1", "h2"]), self.own("article"))
             self.out.append("</header>" if wrapped else "")
         if rng.random() < 0.15:
             self.part("share", meaning, 1.0)
+        if late:
+            self.out.append(self.tag("div", self.own("article") or self.attrs("article", named)))
         plain = rng.choice(["p", "p", "p", "p", "div"])
         for i in range(rng.choice([0, 1, 1, 2, 3, 4, 6, 9, 14, 22])):
             kind = rng.random()
@@ -134,9 +157,9 @@ class Page:
                 self.out.append("</ul>")
             elif kind < 0.16:
                 self.text(1, self.words(5, 40), "blockquote")
-            elif kind < 0.20 and i:
+            elif kind < 0.32 and i:
                 self.part(rng.choice(["advert", "advert", "share", "notice", "sidebar"]), meaning, 1.0)
-            elif kind < 0.24:
+            elif kind < 0.36:
                 self.text(1, rng.choice(["Released under the MIT License.", "Licensed under CC BY 4.0.", "Copyright is a right.", "Contact the author for news.", "Comments on history.", "Home is far."]), plain)
             else:
                 value = self.words(*rng.choice([(1, 3), (4, 20), (15, 60), (20, 90)]))
@@ -158,20 +181,23 @@ def page(seed: int) -> tuple[str, list[int]]:
     rng = random.Random(seed)
     new = Page(rng)
     meaning, named = rng.choice([(0.95, 0.5), (0.95, 0.9), (0.5, 0.9), (0.1, 0.95), (0.6, 0.6), (0.9, 0.1)])
-    new.out.append("<!DOCTYPE html><html><head><title>" + new.words(1, 8) + "</title><style>p{margin:0}</style><script>var a='</div>';</script></head><body>")
-    wrap = rng.random() < 0.4
-    new.out.append('<div id="page">' if wrap else "")
+    new.out.append("<!DOCTYPE html><html><head><title>" + new.words(1, 8) + "</title><style>p{margin:0}</style><script>var a='</div>';</script></head><body" + (new.outer() if rng.random() < 0.5 else "") + ">")
+    wraps = rng.choice([0, 0, 0, 1, 1, 2])
+    new.out += [f"<div{new.outer()}>" for _ in range(wraps)]
     for kind, chance in (("notice", 0.25), ("header", 0.5), ("menu", 0.75), ("advert", 0.35), ("form", 0.2), ("sidebar", 0.2)):
         if rng.random() < chance:
             new.part(kind, meaning, named)
     table = rng.random() < 0.1
     new.out.append("<table><tr><td>" if table else "")
+    boxed = rng.random() < 0.3
+    new.out.append(f"<div{new.outer()}>" if boxed else "")
     if rng.random() < 0.97:
         new.article(meaning, named)
+    new.out.append("</div>" if boxed else "")
     new.out.append("</td></tr></table>" if table else "")
     for kind, chance in (("share", 0.2), ("comments", 0.35), ("sidebar", 0.45), ("form", 0.2), ("advert", 0.25), ("notice", 0.15), ("footer", 0.8)):
         if rng.random() < chance:
             new.part(kind, meaning, named)
-    new.out.append("</div>" if wrap else "")
+    new.out.append("</div>" * wraps)
     new.out.append(rng.choice(["</body></html>", "</body></html>", ""]))
     return "".join(new.out), new.labels

@@ -1,5 +1,8 @@
+import time
+
 import numpy as np
 import pytest
+from pages_by_hand import PAGES
 from pyspark.sql import functions as F
 
 from eventlake.llm import html_extract as x
@@ -36,6 +39,57 @@ def test_blocks(source, blocks):
     assert texts(source) == blocks
 
 
+@pytest.mark.parametrize(
+    "source",
+    ["<div>x" * 100_000, "<span>x" * 100_000, "<span><p>x" * 50_000, "<ul><li>x" * 50_000, "<table><tr><td>x" * 30_000, "<b>" * 100_000 + "</i>" * 100_000, "<svg>x" * 100_000, "<!" * 100_000, "<a" * 100_000, "<!-- " * 100_000, "<a 'x>y \"" * 50_000],
+)
+def test_linear_in_the_page(source):
+    """100 000 tags that nest, or never end, take seconds."""
+    began = time.process_time()
+    x.Blocks(source)
+    assert time.process_time() - began < 10
+
+
+def test_open_elements_as_a_walk_over_the_stack_tells():
+    """Paths, leaves and depths that are kept up as elements come and go are those of the elements that are open."""
+    for seed in range(60):
+        source = x.page(seed)[0]
+        found, open_ = x.Blocks(source), []
+        keep = x._Open.push, x._Open.cut
+
+        def push(self, tag, path):
+            keep[0](self, tag, path)
+            open_.append((tuple(self.stack), dict(self.path), self.leaf))
+
+        def cut(self, place):
+            keep[1](self, place)
+            open_.append((tuple(self.stack), dict(self.path), self.leaf))
+
+        x._Open.push, x._Open.cut = push, cut
+        try:
+            assert x.Blocks(source).paths == found.paths
+        finally:
+            x._Open.push, x._Open.cut = keep
+        for stack, path, leaf in open_:
+            assert set(path) == {h for _, hashes in stack for h in hashes}
+            assert leaf == next((t for t, _ in reversed(stack) if t in x._BLOCK), "")
+
+
+@pytest.mark.parametrize(("source", "main"), PAGES)
+def test_pages_by_hand(net, source, main):
+    assert x.main_texts(net, [source]) == [main]
+
+
+def test_a_long_page_is_read_in_parts(net, monkeypatch):
+    """However few vectors are there at once, a page's labels are the same."""
+    sources = [PAGES[0][0], "<article>" + "<p>One more paragraph of plain words here.</p>" * 300 + "</article>", None, PAGES[1][0]]
+    whole = x.main_texts(net, sources)
+    monkeypatch.setattr(x, "VECTORS_AT_ONCE", 7)
+    monkeypatch.setattr(x, "BLOCKS_AT_ONCE", 10)
+    assert x.main_texts(net, sources) == whole
+    assert whole[1].count("paragraph") == 300
+
+
 def test_every_word_counts():
     """Blocks that differ in a word after the 64th, or the 2000th, alone have other word features."""
     words = lambda block: x.Blocks(f"<p>{block}</p>").vectors()[0, x.PATH : x.PATH + x.WORDS]
