@@ -2,7 +2,8 @@
 
 Each line of FAMILIES is written by hand: label, SPDX ids, keywords, names and web addresses. Every line gives a rule for
 its SPDX tags, one for each of its addresses, and for the names that hold a keyword one for notices that grant something under
-them and one for the bare names. A rule's keyword is in all that its pattern matches, and so is its gate.
+them and one for the bare names. Each line of BODIES is a passage of a license's own text, of which a rule is made that takes
+line breaks and comment marks between its words. A rule's keyword is in all that its pattern matches, and so is its gate.
 """
 
 from __future__ import annotations
@@ -78,6 +79,52 @@ FAMILIES = (
     r"public-domain | public-domain | public domain | (?:released|placed|dedicated) (?:in|in)?to the public domain | creativecommons\.org/publicdomain/mark",
 )
 
+#: label | keyword, one of the words | a passage of the license's text
+BODIES = (
+    "mit | hereby | permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "isc | hereby | permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "isc | hereby | permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    "bsd | redistribution | redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "bsd-3-clause | endorse | may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-4-clause | mentioning | all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "apache | compliance | you may not use this file except in compliance with the license",
+    "apache | warranties | distributed on an \"as is\" basis, without warranties or conditions of any kind, either express or implied",
+    "gpl | redistribute | this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license",
+    "gpl | merchantability | this program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability",
+    "lgpl | redistribute | this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public license",
+    "agpl | redistribute | this program is free software: you can redistribute it and/or modify it under the terms of the gnu affero general public license",
+    "gfdl | distribute | permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation license",
+    "mpl | mozilla | this source code form is subject to the terms of the mozilla public license",
+    "epl | accompanying | this program and the accompanying materials are made available under the terms of the eclipse public license",
+    "cddl | cddl | the contents of this file are subject to the terms of the common development and distribution license (the \"license\"). cddl",
+    "zlib | liable | this software is provided 'as-is', without any express or implied warranty. in no event will the authors be held liable",
+    "zlib | misrepresented | the origin of this software must not be misrepresented; you must not claim that you wrote the original software",
+    "unlicense | unencumbered | this is free and unencumbered software released into the public domain",
+    "wtfpl | verbatim | everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed",
+    "boost | hereby | permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation",
+    "ncsa | hereby | permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal with the software without restriction",
+    "x11 | consortium | except as contained in this notice, the name of the x consortium shall not be used in advertising",
+    "postgresql | hereby | permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted",
+    "python | nonexclusive | psf hereby grants licensee a nonexclusive, royalty-free, world-wide license to reproduce, analyze, test, perform and/or display publicly",
+    "openssl | openssl | this product includes software developed by the openssl project for use in the openssl toolkit",
+    "php | php | this product includes php software, freely available from",
+    "artistic | artistic | the intent of this document is to state the conditions under which a package may be copied, such that the copyright holder maintains some semblance of artistic control",
+    "ms-pl | accept | if you use the software, you accept this license. if you do not accept the license, do not use the software",
+    "cc0 | dedicated | the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights",
+    "cc-by | attribution | you must give appropriate credit, provide a link to the license, and indicate if changes were made. attribution",
+    "beerware | beer | if we meet some day, and you think this stuff is worth it, you can buy me a beer in return",
+    "public-domain | disclaims | the author disclaims copyright to this source code",
+    "public-domain | blessing | in place of a legal notice, here is a blessing",
+    "elastic | hosted | you may not provide the software to third parties as a hosted or managed service",
+    "sspl | functionality | if you make the functionality of the program or a modified version available to third parties as a service",
+    "blueoak | infringe | each contributor licenses you to do everything with this software that would otherwise infringe that contributor's copyright",
+    "upl | hereby | subject to the condition set forth below, permission is hereby granted to any person obtaining a copy of this software, associated documentation and/or data",
+    "unicode | hereby | permission is hereby granted, free of charge, to any person obtaining a copy of the unicode data files and any associated documentation",
+    "w3c | obtaining | by obtaining, using and/or copying this work, you (the licensee) agree that you have read, understood, and will comply with the following terms",
+    "vim | charityware | vim is charityware. you can use and copy it as much as you like",
+    "perl | perl | you can redistribute it and/or modify it under the same terms as perl itself",
+)
+
 #: Words of the base phrases, by label: they count wherever the words follow each other, whatever stands between them.
 PHRASES = (("gpl", "gnu general public license"), ("apache", "apache license"), ("cc-by", "cc by"), ("mit", "mit license"))
 
@@ -85,8 +132,8 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 #: Priorities: a detection inside another of at least its own priority is dropped.
-TAG, GRANT, NAME, PHRASE = 4, 3, 2, 1
-SCORES = {TAG: 1.0, GRANT: 0.95, NAME: 0.8, PHRASE: 0.6}
+TAG, BODY, GRANT, NAME, PHRASE = 5, 4, 3, 2, 1
+SCORES = {TAG: 1.0, BODY: 0.98, GRANT: 0.95, NAME: 0.8, PHRASE: 0.6}
 
 
 @dataclass(frozen=True)
@@ -110,6 +157,11 @@ def _must(alternative: str) -> str:
     return re.sub(r"\(\?:[^()]*\)\?", "", alternative)
 
 
+def _passage(text: str) -> str:
+    """A passage as a regex: its words in any case, with whatever is no word between them, comment marks and line breaks too."""
+    return f"(?i)(?<!{WORD})" + f"{GAP}+".join(re.findall("[a-z0-9]+", text)) + f"(?!{WORD})"
+
+
 def gates(known: list[Rule]) -> tuple[str, ...]:
     """Literals of which every match of a rule, lower-cased, has one: a text without any has no detection."""
     found = {r.gate or r.keyword for r in known}
@@ -131,8 +183,11 @@ def rules() -> list[Rule]:
             own = [x for x in todo if keyword in _must(x)]
             todo = [x for x in todo if x not in own]
             some, gate = "|".join(own), "licen" if all("licen" in _must(x) for x in own) else keyword
-            out.append(Rule(keyword, rf"(?i)\b(?:licen[cs]ed|released|distributed|available|published|covered|governed|provided) (?:under|by) (?:the )?(?:terms of (?:the )?)?(?:{some}){version}", label, GRANT, gate))
+            out.append(Rule(keyword, rf"(?i)\b(?:licen[cs]ed|released|distributed|available|published|covered|governed|provided) (?:under|by) (?:the |an? )?(?:terms of (?:the )?)?(?:{some}){version}", label, GRANT, gate))
             out.append(Rule(keyword, rf"(?i)(?<!{WORD})(?:{some}){version}(?!{WORD})", label, NAME, gate))
+    for line in BODIES:
+        label, keyword, passage = (x.strip() for x in line.split(" | "))
+        out.append(Rule(keyword, _passage(passage), label, BODY))
     for label, words in PHRASES:
         first, *rest = words.split()
         out.append(Rule(first, f"(?i)(?<!{WORD}){first}" + "".join(f"{GAP}+{w}" for w in rest) + f"(?!{WORD})", label, PHRASE, "licen" if "license" in rest else first))

@@ -5,7 +5,7 @@ import pytest
 from corpus import EDGES, docs, prose
 
 from eventlake.llm import license_scan
-from eventlake.llm.license_rules import FAMILIES, GATES, GRANT, PHRASES, Rule, rules
+from eventlake.llm.license_rules import BODIES, BODY, FAMILIES, GATES, GRANT, PHRASES, Rule, rules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -60,7 +60,7 @@ def test_labels(spark, text, labels, score):
 
 def test_contained_detections_go(spark):
     r = license_scan.scan(docs(spark, [(1, "Licensed under the GNU General Public License, version 3. MIT License")])).first()
-    assert [(d.label, d.priority) for d in r.detections] == [("gpl", 3), ("mit", 2)]
+    assert [(d.label, d.priority) for d in r.detections] == [("gpl", GRANT), ("mit", 2)]
     text = "Licensed under the GNU General Public License, version 3. MIT License"
     assert [text[d.start : d.end] for d in r.detections] == [text[:56], "MIT License"]
     assert [d.word for d in r.base] == [3, 9]
@@ -123,7 +123,7 @@ def shortest(parsed, more=0):
 
 def test_each_way_through_each_rule_holds_its_keyword_and_a_gate():
     for rule in rules():
-        for text in itertools.chain.from_iterable(shortest(re._parser.parse(rule.pattern), more) for more in ((0,) if rule.priority == GRANT else (0, 1))):
+        for text in itertools.chain.from_iterable(shortest(re._parser.parse(rule.pattern), more) for more in ((0,) if rule.priority in (GRANT, BODY) else (0, 1))):
             assert re.fullmatch(rule.pattern, text), (rule, text)
             assert rule.keyword in text.lower(), (rule, text)
             assert any(g in text.lower() for g in GATES), (rule, text)
@@ -152,6 +152,50 @@ def labels_of(spark, texts):
     return [got[i] for i in range(len(texts))]
 
 
+def without_prefilter(text):
+    """Labels that every rule run over the whole text gives, after pairwise containment."""
+    every = [(m.start(), m.end(), r.priority, -i, r.label) for i, r in enumerate(rules()) for m in re.finditer(r.pattern, text)]
+    inside = lambda d, e: d is not e and e[0] <= d[0] and d[1] <= e[1] and e[2] >= d[2] and (e[:2] != d[:2] or (e[2], e[3]) > (d[2], d[3]))
+    kept = {d[4] for d in every if not any(inside(d, e) for e in every)}
+    return ",".join(sorted(kept | {d[4] for d in every if d[2] == 1}))
+
+
+def test_scan_equals_one_without_a_prefilter(spark):
+    """A text for each way through each rule, alone: gates and keywords change nothing."""
+    texts = sorted({t for rule in rules() for t in shortest(re._parser.parse(rule.pattern))} | {t for t, _ in ALONE + ADDRESSES})
+    assert len(texts) > 300
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.labels for r in license_scan.digest(license_scan.scan(docs(spark, rows, clash=False))).collect()}
+    for i, text in rows:
+        assert got[i] == without_prefilter(text) != "", text
+
+
+def wrapped(passage, mark):
+    """A passage as files have it: in lines of five words behind comment marks, with a capital and a full stop."""
+    words = passage.split()
+    return f"{mark} " + f"\n{mark} ".join(" ".join(words[i : i + 5]) for i in range(0, len(words), 5)).capitalize() + "."
+
+
+def test_bodies(spark):
+    lines = [[x.strip() for x in line.split(" | ")] for line in BODIES for _ in range(4)]
+    texts = [wrapped(passage, ("", " *", "#", "//")[i % 4]) for i, (_, _, passage) in enumerate(lines)]
+    for (label, _, _), text, got in zip(lines, texts, labels_of(spark, texts), strict=True):
+        assert label in got, text
+
+
+def test_body_of_a_file(spark):
+    text = """Copyright (c) 2020 Somebody
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice.
+3. Neither the name of the holder nor the names of its contributors may be used
+   to endorse or promote products derived from this software without specific
+   prior written permission."""
+    r = license_scan.digest(license_scan.scan(docs(spark, [(1, text), (2, "Permission is granted, and redistribution is hereby promised.")])))
+    assert {x.doc_id: (x.labels, x.score) for x in r.collect()} == {1: ("bsd,bsd-3-clause", 0.98), 2: ("", 0.0)}
+
+
 def test_notices_without_other_words(spark):
     for (text, label), got in zip(ALONE, labels_of(spark, [t for t, _ in ALONE]), strict=True):
         assert label in got, text
