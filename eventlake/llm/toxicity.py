@@ -7,7 +7,8 @@ with an edit budget; its states are made deterministic as they are met and kept.
 length within a paragraph) or after reporting verbs count for less. Around each match, the weights of the matches in a window of words are summed; these sums, and
 others over the text, go into a logistic regression that turns them into a probability.
 
-Training takes a bounded sample: SAMPLE labelled rows of either class, picked by a hash of their ids. Scoring reads every row.
+Training takes a bounded sample: SAMPLE labelled rows of either class at most, picked by a hash of their ids, and SAMPLE_BYTES of whole texts
+in that order; a text that would go over is left out. Scoring reads every row.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import fold, per_process, small_batches, trim
 
-#: Labelled rows of each class that training takes at most.
-SAMPLE = 2000
+#: Labelled rows of each class that training takes at most, and bytes of their texts.
+SAMPLE, SAMPLE_BYTES = 2000, 16 << 20
 #: Common insults, known without training.
 SEEDS = (
     "idiot", "moron", "imbecile", "stupid", "dumb", "dumbass", "fool", "loser", "scum", "trash", "garbage", "pathetic", "worthless", "disgusting",
@@ -36,13 +37,15 @@ SEEDS = (
     "fuck", "fucking", "shit", "bullshit", "whore", "slut", "wanker", "twat", "prick",
 )
 SEED_WEIGHT = 3.0
-#: Lengths of stems; rows (at least, and as a share of the toxic ones) and lift that an entry needs; entries at most.
-STEM, SUPPORT, SHARE, LIFT, ENTRIES = (4, 10), 3, 0.015, 15.0, 4000
+#: Lengths of stems; rows (at least, and as a share of the toxic ones) and lift that an entry needs. There is no cap on entries: the sample bounds them.
+STEM, SUPPORT, SHARE, LIFT = (4, 10), 3, 0.015, 15.0
 #: Words of at least so many letters may have so many edits; entries below the weight have no misspellings.
 EDITS, FUZZY_WEIGHT = ((5, 1), (9, 2)), 2.5
 #: Words on either side of a match that are its context, words before it in which a reporting verb tells a quotation.
 WINDOW, REPORTED = 8, 4
-REPORTING = frozenset("said says say called calls quote quoted quotes wrote writes word words term phrase slur insult dit disait écrit mot sagte schrieb wort dijo escribió palabra".split())
+REPORTING = frozenset("said says say called calls quote quoted quotes wrote writes dit disait écrit sagte schrieb dijo escribió".split())
+#: Nouns that name a word when they stand right before it.
+NAMING = frozenset("word words term phrase slur insult mot wort palabra".split())
 QUOTED = 0.5
 #: Words that a worker remembers the verdict of.
 CACHED_WORDS = 300_000
@@ -219,7 +222,7 @@ class Matcher:
                 near = bool(before and after) and before in _QUOTES and after in _QUOTES
                 k = bisect_right(starts, m.start()) - 1
                 near = near or (k >= 0 and m.start() < ends[k])
-                told = not REPORTING.isdisjoint(words[max(0, i - REPORTED) : i])
+                told = not REPORTING.isdisjoint(words[max(0, i - REPORTED) : i]) or (i > 0 and words[i - 1] in NAMING)
                 spots.append((i, hit[0] * (QUOTED if near or told else 1.0), hit[1], m[0]))
         exact, fuzzy = sum(w for _, w, f, _ in spots if not f), sum(w for _, w, f, _ in spots if f)
         widest, first, total = 0.0, 0, 0.0
@@ -241,7 +244,7 @@ def _score(model: Model, rows: np.ndarray) -> np.ndarray:
 def _entries(text: str) -> set[str]:
     out = set()
     for word in set(_WORD.findall(text.lower())):
-        if 3 <= len(word) <= 30:
+        if len(word) >= 3:
             out.add(word + "$")
             out.update(word[:n] for n in range(STEM[0], min(len(word), STEM[1]) + 1))
     return out
@@ -261,7 +264,7 @@ def lexicon(toxic: list[str], clean: list[str]) -> dict[str, float]:
     for text in clean:
         few.update(x for x in _entries(text) if x in many)
     lift = {e: (n / len(toxic)) / ((few[e] + 0.5) / len(clean)) for e, n in many.items()}
-    good = sorted((e for e in many if lift[e] >= LIFT), key=lambda e: -many[e] * math.log(lift[e]))[:ENTRIES]
+    good = sorted((e for e in many if lift[e] >= LIFT), key=lambda e: (-many[e] * math.log(lift[e]), e))
     return weights | {e: min(6.0, math.log(lift[e])) for e in good}
 
 
@@ -305,7 +308,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     parts = [known.where((F.col("_label") > 0) == F.lit(bool(x))).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE) for x in (1, 0)]
     chosen = parts[0].union(parts[1])  # 2 x SAMPLE ids at most
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "_label").collect()
+    chosen = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # 2 x SAMPLE ids: picked once
+    here = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    sizes_of = here.groupBy("_id", "_label").agg(F.sum(F.octet_length("text")).alias("_bytes")).orderBy(F.xxhash64("_id"), "_id").collect()
+    left, taken = {0: SAMPLE_BYTES // 2, 1: SAMPLE_BYTES // 2}, []
+    for r in sizes_of:
+        kind = int(r["_label"] > 0)
+        if r["_bytes"] <= left[kind]:
+            left[kind] -= r["_bytes"]
+            taken.append((r["_id"], r["_label"]))
+    fits = docs.sparkSession.createDataFrame(taken, chosen.schema)
+    rows = texts.join(F.broadcast(fits), F.col("_doc") == F.col("_id")).select("text", "_label").collect()  # SAMPLE_BYTES
     toxic, clean = [r["text"] for r in rows if r["_label"] > 0], [r["text"] for r in rows if not r["_label"] > 0]
     prior = math.log(max(1, len(toxic)) / max(1, len(clean))) - math.log(max(1, sizes.get(1, 0)) / max(1, sizes.get(0, 0)))
     return fit(toxic, clean, prior)

@@ -1,3 +1,4 @@
+import math
 import os
 import zlib
 
@@ -107,3 +108,52 @@ def test_quotations_of_several_words():
         assert worth(text) == plain, text
     half = worth('"stupid" fool')
     assert half == worth('"so very stupid" you fool')
+
+
+def test_naming_nouns_count_right_before_a_match_only():
+    matcher = toxicity.Matcher(toxicity.Model({"moron$": 4.0}))
+    worth = lambda text: matcher.features(text)[0][0]
+    assert worth("my word you moron") == worth("oh you moron") > worth("the word moron is rude")
+    assert worth('She wrote: "you are such a worthless moron, go home"') < worth("you are such a worthless moron, go home")
+
+
+def test_features_as_plain_counting():
+    """Sums, distinct words and the largest window, by looking at each pair of matches."""
+    lexicon = {"moron$": 4.0, "scum$": 3.0, "gribb": 2.0}
+    matcher = toxicity.Matcher(toxicity.Model(lexicon))
+    for seed in range(60):
+        words = prose(seed, 60).lower().replace(",", "").replace(".", "").split()
+        for k, word in enumerate(["moron", "scum", "gribbalo", "morom", "moron", "gribbo"]):
+            words.insert((seed * 7 + k * (seed % 13)) % len(words), word)
+        text = " ".join(words)
+        plain = toxicity._WORD.findall(text)
+        spots = [(i, {"moron": 4.0, "scum": 3.0, "morom": 4.0}.get(w, 2.0), w == "morom", w) for i, w in enumerate(plain) if w in ("moron", "scum", "morom") or w.startswith("gribb")]
+        exact, fuzzy = sum(w for _, w, f, _ in spots if not f), sum(w for _, w, f, _ in spots if f)
+        widest = max(sum(w * (0.5 if f else 1.0) for j, w, f, _ in spots if 0 <= i - j <= 2 * toxicity.WINDOW) for i, _, _, _ in spots)
+        want = [math.log1p(exact), math.log1p(len({x for _, _, f, x in spots if not f})), math.log1p(widest), 10 * exact / (10 + len(plain)), math.log1p(fuzzy)]
+        got, hits = matcher.features(text)
+        assert hits == len(spots)
+        assert got == pytest.approx(want)
+
+
+def test_sample_is_bounded_by_bytes_of_whole_texts(spark, monkeypatch):
+    """Labelled texts over the bound have no part in training; every row is scored."""
+    rows, labels = corpus(200)
+    rows += [(1001, "gribbzzz " * 50_000), (1002, prose(7, 30_000))]
+    lab = spark.createDataFrame([(i, 1, t) for i, t in labels] + [(1001, 1, 1), (1002, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda toxic, clean, prior=0.0: seen.append((toxic, clean)) or fit(toxic, clean, prior))
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 150_000)
+    got = {r.doc_id: r for r in toxicity.judge(docs(spark, rows), lab).collect()}
+    assert len(got) == len(rows)
+    assert [i for i, t in labels if got[i].predicted != t] == []
+    texts = set(dict(rows).values())
+    for side in seen[0]:
+        assert set(side) <= texts  # whole texts
+        assert 0 < sum(len(t.encode()) for t in side) <= 75_000
+
+
+def test_long_words_are_entries_too():
+    long = "x" * 40 + "gribb"
+    assert long + "$" in toxicity.lexicon([f"a {long} b"] * 20, ["a b c"] * 50)
