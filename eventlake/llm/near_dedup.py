@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,8 @@ from .common import Scratch, forget, remove, small_batches, trim, written
 from .grouping import components
 
 ROWS, MISS = 4, 1e-6
-#: Bytes of text that a worker turns into signatures at once.
-TEXT_AT_ONCE = 1 << 21
+#: Bytes of text that a worker turns into signatures at once; of a longer text, so many are split into words and so many shingles hashed at once.
+TEXT_AT_ONCE, SHINGLES_AT_ONCE = 1 << 21, 1 << 17
 #: Members in a block of the exact comparison.
 BLOCK = 256
 #: Further hubs that the members of a torn bucket meet before blocks do.
@@ -46,6 +47,7 @@ HUBS = 1
 BROADCAST_IDS = 1_000_000
 
 U = np.uint64
+_SPACE = re.compile(rb"[ \t-\r]")
 _VALUE_BITS = U(24)
 _FULL = U(0xFFFFFFFFFFFFFFFF)
 
@@ -62,14 +64,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of a text's words, in order; no more than TEXT_AT_ONCE bytes, and a word, are split at once."""
+    parts, at = [], 0
+    while at < len(text):
+        end = at + TEXT_AT_ONCE
+        if end < len(text):
+            space = _SPACE.search(text, end)
+            end = space.start() if space else len(text)
+        found = text[at:end].split()
+        parts.append(np.fromiter(map(xxh3_64_intdigest, found), U, len(found)))
+        at = end
+    return np.concatenate(parts) if parts else np.empty(0, U)
+
+
 def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the sorted distinct shingles of text i are hashes[bounds[i]:bounds[i + 1]].
 
     Words are runs outside ASCII white space of the text with A-Z lower-cased; fewer words than `words` are one shingle.
     """
-    split = [x.encode("utf-8", "surrogatepass").lower().split() for x in texts]
-    counts = np.array([len(x) for x in split], np.int64)
-    h = np.fromiter((y for x in split for y in map(xxh3_64_intdigest, x)), U, int(counts.sum()))
+    found = [word_hashes(x.encode("utf-8", "surrogatepass").lower()) for x in texts]
+    counts = np.array([len(x) for x in found], np.int64)
+    h = np.concatenate(found) if found else np.empty(0, U)
+    del found
     ends = np.cumsum(counts)
     with np.errstate(over="ignore"):
         joined = mix(h + U(0x9E3779B97F4A7C15))
@@ -92,12 +109,19 @@ def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
 def super_minhash(hashes: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
     """Signatures (documents x size); the value of rank j is j + a uniform fraction, as an integer of 40 bits a rank.
 
-    Empty sets keep the largest value in all registers.
+    A register is a minimum over elements, so lots of SHINGLES_AT_ONCE elements may go one after another. Empty sets keep the
+    largest value in all registers.
     """
-    n = len(bounds) - 1
-    registers = np.full((n, size), _FULL, U)
-    doc = np.repeat(np.arange(n), np.diff(bounds))
-    element, swap = hashes, None
+    registers = np.full((len(bounds) - 1, size), _FULL, U)
+    doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        _lower(registers, doc[at : at + SHINGLES_AT_ONCE], hashes[at : at + SHINGLES_AT_ONCE], size)
+    return registers
+
+
+def _lower(registers: np.ndarray, doc: np.ndarray, element: np.ndarray, size: int) -> None:
+    """Lowers the registers of documents by elements, rank by rank; a document whose registers all have a value of a lower rank is done."""
+    swap = None
     with np.errstate(over="ignore"):
         for j in range(size):
             if not len(element):
@@ -111,16 +135,14 @@ def super_minhash(hashes: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarr
                 swap[row, k] = swap[:, j]
             else:
                 target = k
-            np.minimum.at(registers.reshape(-1), doc * size + target, value)
-            open_ = (registers == _FULL).any(axis=1)
-            left = open_[doc]
+            np.minimum.at(registers.reshape(-1), doc.astype(np.int64) * size + target, value)
+            left = (registers >= U((j + 1) << 40)).any(axis=1)[doc]
             if not j:
                 element, doc, k = element[left], doc[left], k[left]
                 swap = np.tile(np.arange(size, dtype=np.uint16 if size > 255 else np.uint8), (len(element), 1))
                 swap[np.arange(len(element)), k] = 0
             elif not left.all():
                 element, doc, swap = element[left], doc[left], swap[left]
-    return registers
 
 
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:

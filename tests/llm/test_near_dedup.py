@@ -1,8 +1,11 @@
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
-from corpus import EDGES, by_id, docs, edited, prose
+from corpus import EDGES, WORDS, by_id, docs, edited, prose
 
 from eventlake.llm import grouping, near_dedup
 
@@ -112,3 +115,58 @@ def test_components(spark):
     want = {i: 1 for i in range(2, 61)} | {100: 1, 201: 200} | {500 + i: 500 for i in range(1, 40)}
     assert got == want
     assert grouping.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_parts_of_a_text_give_what_the_whole_gives(monkeypatch):
+    texts = [prose(i, 200 * i) for i in range(6)] + ["", " \n", "one", "x" * 5000, "a\tb\x0bc\r\nd " * 300]
+    whole = near_dedup.shingles(texts, 3)
+    signatures = near_dedup.super_minhash(*whole, 76)
+    for at_once in (1, 64, 1000):
+        monkeypatch.setattr(near_dedup, "TEXT_AT_ONCE", at_once)
+        monkeypatch.setattr(near_dedup, "SHINGLES_AT_ONCE", at_once)
+        parts = near_dedup.shingles(texts, 3)
+        assert all((a == b).all() for a, b in zip(parts, whole, strict=True))
+        assert (near_dedup.super_minhash(*parts, 76) == signatures).all()
+
+
+def traced(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_one_very_long_text():
+    """A text of over 20 MB takes some copies of itself and its hashes, and nothing for each word beyond that."""
+    text = " ".join(f"{WORDS[i % 17]}{i}" for i in range(1_750_000))
+    assert len(text) > 20e6
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+    found, peak = traced(lambda: list(near_dedup._signed(3, near_dedup.bands_for(85), near_dedup.ROWS)(iter([batch]))))
+    assert found[0].column(1).to_pylist() == [1_749_998]
+    assert peak < 260
+
+
+def test_memory_of_a_family_of_thousands():
+    """Near copies of one long text meet in blocks of bounded size, whose memory is that of their sets; all links between labels are found."""
+    rng = np.random.default_rng(3)
+    base = np.sort(rng.integers(-(2**63), 2**63, 1500, dtype=np.int64))
+    sets = [np.sort(np.concatenate([base[i % 50 :], rng.integers(-(2**63), 2**63, 20, dtype=np.int64)])) for i in range(2 * near_dedup.BLOCK)]
+    rows = pd.DataFrame({"set_id": [i.to_bytes(16, "big") for i in range(len(sets))], "shingles": sets, "label": [i.to_bytes(16, "big") for i in range(len(sets))], "side": [i % 2 for i in range(len(sets))], "kind": 0})
+    found, peak = traced(lambda: near_dedup._block_links(85)(rows))
+    assert len(found) == len(sets) - 1  # a tree over all members
+    assert peak < 100
+
+
+def test_a_family_of_thousands(spark):
+    """Three thousand edits of one text: one component, and the smallest id stays."""
+    base = prose(1, 120)
+    rows = [(i, edited(base, 60 + i % 40, i)) for i in range(3000)] + [(5000 + i, prose(50 + i, 120)) for i in range(20)]
+    got = near_dedup.near_dedup(docs(spark, rows, clash=False), 3, 80).collect()
+    assert {r.doc_id for r in got if r.kept} >= {0, *range(5000, 5020)}
+    first = {r.component_id for r in got if r.doc_id < 3000}
+    linked = {r.doc_id for r in got if r.doc_id < 3000 and r.component_id == 0}
+    sets = {i: shingles(t, 3) for i, t in rows[:3000]}
+    for i in sorted(first)[1:]:  # a text of its own component is linked with none: here with a sample of the large one, and with all of the hub's
+        assert all(100 * len(sets[i] & sets[j]) < 80 * len(sets[i] | sets[j]) for j in sorted(linked)[:300])
