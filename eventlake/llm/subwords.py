@@ -3,7 +3,9 @@
 Texts become units: runs of spaces with the word that follows, cut further wherever no piece has the two neighbouring characters, so
 that the best segmentation of a text is that of its units in a row. Distinct units are rows; their substrings of bounded length
 are exploded and equi-joined to the piece table, which leaves the lattice's edges; edges are grouped by unit, in the partitioning
-that counting the units made; and a higher-order fold over them, in order of their ends, keeps the best path (Viterbi).
+that counting the units made; and a higher-order fold over them, in order of their ends, keeps the best path (Viterbi). A unit of over UNIT
+characters (there are few: unspaced writing, long codes) would make the fold quadratic; the same recursion, with the same
+ties, streams over it instead, so no text is cut where a piece might reach over.
 
 Back in the documents, the most frequent units, FREQUENT at most, travel as a broadcast. Documents are taken in slices of
 about TEXT_AT_ONCE bytes: a slice's other units are joined on the unit, and meet the slice, as word numbers, again by its number.
@@ -32,8 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import most_frequent, per_process, release, remove, small_batches, trim, written
 
-#: Characters of the longest piece that is used, and of the longest unit: longer ones are cut into such lengths.
-LONGEST, UNIT = 16, 256
+#: Characters of the longest unit whose lattice is a table's rows.
+UNIT = 256
 #: Units that go to every executor; distinct words that a worker counts before it passes them on.
 FREQUENT, COUNTED_AT_ONCE = 131_072, 300_000
 #: Words whose ids a worker keeps; bytes of text in a slice.
@@ -63,31 +65,56 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 plain = name.replace("▁", " ")
                 self.text[i] = plain.encode()
-                if len(plain) <= LONGEST:
-                    normal.append((plain, i, model.get_score(i)))
+                normal.append((plain, i, model.get_score(i)))
         ranks = all(s == int(s) for _, _, s in normal)  # merge ranks are whole numbers
         order = {i: r for r, (_, i, _) in enumerate(sorted(normal, key=lambda p: (-p[2], p[1])), 1)}
         total = sum(1 / (r + 2.7) for r in order.values())
         self.pieces = [(p, i, -math.log((order[i] + 2.7) * total) if ranks else s) for p, i, s in normal]
         self.byte_score = min((s for _, _, s in self.pieces), default=0.0) - 1.0
+        self.longest = max((len(p) for p, _, _ in normal), default=1)
         self.pairs = {pair for p, _, _ in normal for pair in zip(p, p[1:], strict=False)}
 
     def units(self, chunk: str) -> list[str]:
         """A chunk (spaces, then none) cut where no piece reaches over; letters alone aren't searched for such places."""
         pairs, body = self.pairs, chunk[1:]
-        if chunk[:1] == " " and len(chunk) <= UNIT:
+        if chunk[:1] == " ":
             if body.isalpha():
                 return [chunk]
             if body[:-1].isalpha() and (body[-2], body[-1]) not in pairs:
                 return [chunk[:-1], body[-1]]
         out, start = [], 0
         for i, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1):
-            if pair not in pairs or i - start == UNIT:
+            if pair not in pairs:
                 out.append(chunk[start:i])
                 start = i
         out.append(chunk[start:])
         return out
 
+    def best(self, unit: str) -> list[int]:
+        """ids of the best path of one unit; of equal ones the one that the fold over sorted edges keeps."""
+        known, score, ends = self._by_piece(), [0.0], [(0, [])]
+        for end in range(1, len(unit) + 1):
+            top, way = -math.inf, (end - 1, [])
+            for start in range(max(0, end - self.longest), end):
+                found = known.get(unit[start:end])
+                if found is None and start == end - 1:
+                    data = unit[start].encode("utf-8", "surrogatepass")
+                    found = len(data) * self.byte_score, [self.bytes[x] for x in data]
+                if found is not None and score[start] + found[0] > top:
+                    top, way = score[start] + found[0], (start, found[1])
+            score.append(top)
+            ends.append(way)
+        out, at = [], len(unit)
+        while at:
+            at, ids = ends[at]
+            out.append(ids)
+        return [i for ids in reversed(out) for i in ids]
+
+    def _by_piece(self) -> dict[str, tuple[float, list[int]]]:
+        if not hasattr(self, "_table"):
+            self._table = {p: (s, [i]) for p, i, s in self.pieces}
+        return self._table
+
     def decode(self, ids: Iterator[int]) -> str:
         return b"".join([self.text[i] for i in ids]).decode("utf-8", "replace")[1:]
 
@@ -185,14 +212,29 @@ def _best_path(edges: Column) -> Column:
         start = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
         return F.aggregate(best, start, walk, lambda acc: acc["ids"])
 
-    return F.aggregate(F.array_sort(edges), begin, step, back)
+    return F.aggregate(F.sort_array(edges), begin, step, back)
+
+
+def _streamed(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = per_process(("subwords", path), lambda: Vocabulary(path))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([known.best(batch.column(0)[i].as_py())], pa.list_(pa.int32()))], names=["unit", "n", "ids"])
+
+    return run
 
 
-def encode_units(counted: DataFrame, known: Vocabulary) -> DataFrame:
+def encode_units(counted: DataFrame, known: Vocabulary, path: str) -> DataFrame:
     """(unit, n) with distinct units, best partitioned by them -> (unit, n, ids)."""
+    long = counted.where(F.length("unit") > UNIT).mapInArrow(_streamed(path), "unit string, n long, ids array<int>")
+    return _lattices(counted.where(F.length("unit") <= UNIT), known).union(long)
+
+
+def _lattices(counted: DataFrame, known: Vocabulary) -> DataFrame:
     pieces = F.broadcast(_piece_table(counted.sparkSession, known))  # as many rows as the vocabulary has pieces
     starts = counted.select("unit", "n", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
-    spans = starts.select("unit", "n", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("unit"), F.col("start") + LONGEST))).alias("end"))
+    spans = starts.select("unit", "n", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("unit"), F.col("start") + known.longest))).alias("end"))
     cut = spans.select("unit", "n", "start", "end", F.substring(F.col("unit"), F.col("start") + 1, F.col("end") - F.col("start")).alias("sub"))
     joined = cut.join(pieces, F.col("sub") == F.col("piece"), "left").where(F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1))
     in_bytes = F.length(F.encode("sub", "utf-8")) * known.byte_score
@@ -338,7 +380,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     counted = written(source.mapInArrow(_counted(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "counted")
     release(spark)
     parts = max(1, -(-counted.count() // UNITS_AT_ONCE))
-    solved = written(encode_units(counted.repartition(parts, "unit"), known), "units")
+    solved = written(encode_units(counted.repartition(parts, "unit"), known, path), "units")
     remove(counted)
     release(spark)
     top = most_frequent(solved, "n", FREQUENT).collect()
