@@ -6,9 +6,6 @@ lake_ queries write the events as hourly files first and go through the lake's o
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -22,7 +19,7 @@ from .functions.expressions import lenient_long
 from .operators import gold, quality, silver
 from .plans import operations, serving
 from .sources import tables
-from .sources.store import Store
+from .sources.store import Store, shared_folder
 
 #: event_type -> payload_action.
 OPENED, CLOSED = "signup", "purchase"
@@ -184,12 +181,8 @@ DAY = datetime(2024, 3, 5)
 
 
 def _lake(spark) -> Config:
-    """A new lake in the shared folder, or, where none is set, in a temporary one of this machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="eventlake-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return Config(data_root=f"{root.rstrip('/')}/lake-{uuid.uuid4().hex}", quality_min_rows=1)
+    """A new lake in the shared folder."""
+    return Config(data_root=f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}", quality_min_rows=1)
 
 
 def _landed(spark, sf_dir) -> tuple[Config, list[datetime]]:

@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or, on one machine where none is set, a temporary one.
+
+    A cluster without one is refused: what an executor writes to its own disk the others can't read.
+    """
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        at = tempfile.mkdtemp(prefix="eventlake-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(at)
+        at = spark.sparkContext.getCheckpointDir()
+    return at.rstrip("/")
+
+
 @dataclass(frozen=True)
 class Entry:
     path: str

@@ -13,7 +13,7 @@ from eventlake.operators import silver
 from eventlake.operators.quality import QualityGateError
 from eventlake.plans import operations, runner
 from eventlake.sources import tables
-from eventlake.sources.store import Store
+from eventlake.sources.store import Store, shared_folder
 
 
 def test_config():
@@ -180,3 +180,23 @@ def test_a_file_is_replaced_in_one_step(spark, tmp_path):
         store.write(path, data)
         assert open(path, "rb").read() == data
     assert [x for x in os.listdir(f"{tmp_path}/x") if not x.endswith(".crc")] == ["record.json"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+    Session.conf.get = staticmethod(lambda key, default=None: "hdfs://x/y/")
+    assert shared_folder(Session()) == "hdfs://x/y"
+    assert os.path.isdir(shared_folder(spark).removeprefix("file:"))
