@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import shutil
 import sys
-import tempfile
 import types
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import shared_folder
+
 #: Held-out folds are taken by this remainder rule, so that every run and every engine agrees.
 FOLDS = 5
 
@@ -31,30 +31,34 @@ def fold(id_column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or (unset, as in tests) a temporary one."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        known = spark.sparkContext.getCheckpointDir()
-        if known:
-            return known.rstrip("/")
-        at = tempfile.mkdtemp(prefix="eventlake-")
-        atexit.register(shutil.rmtree, at, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(at)
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    return at.rstrip("/")
+#: Lists that take the tables that written() makes meanwhile.
+_TAKING: list[list[DataFrame]] = []
+
+
+@contextmanager
+def tables_made() -> Iterator[list[DataFrame]]:
+    """The tables that written() makes inside the with block: a result that is written out no longer needs those it read."""
+    made: list[DataFrame] = []
+    _TAKING.append(made)
+    try:
+        yield made
+    finally:
+        _TAKING.remove(made)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, and outlives any executor.
 
-    The folder has a new name each time; clearing the checkpoint folder is the cluster's own business,
-    since the caller may read the returned DataFrame at any later time.
+    The folder has a new name each time. Whoever writes the result out may remove it (tables_made); else clearing the checkpoint folder is
+    the cluster's own business, since the caller may read the returned DataFrame at any later time.
     """
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    for made in _TAKING:
+        made.append(out)
+    return out
 
 
 def remove(df: DataFrame) -> None:
@@ -82,9 +86,19 @@ def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
     return df.where((F.col(count) > 0) & (step >= least)) if least is not None else df.limit(0)
 
 
+#: Bytes that a Python worker gets at once.
+BATCH_BYTES = 4 << 20
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker gets at once by bytes: of long texts, the default of 64 MB is several times that in either process."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    """Bounds what a Python worker gets at once by bytes: of long texts, the default of 64 MB is several times that in either process.
+
+    Results are lazy, so the setting has to last; a session that already has a smaller bound keeps its own.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark.conf.get(key, "")
+    if not found.isdigit() or not 0 < int(found) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 class Scratch:
