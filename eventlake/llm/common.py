@@ -96,7 +96,7 @@ def small_batches(spark: SparkSession) -> None:
     Results are lazy, so the setting has to last; a session that already has a smaller bound keeps its own.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    found = spark.conf.get(key, "")
+    found = spark.conf.get(key).removesuffix("b")
     if not found.isdigit() or not 0 < int(found) <= BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 

@@ -1,3 +1,4 @@
+import os
 import hashlib
 from collections import defaultdict
 
@@ -37,3 +38,27 @@ def test_rows_that_stay(spark):
     got = out.collect()
     assert len(got) == len({t or "" for _, t in rows})
     assert {(r.doc_id, r.text or "") for r in got} == {(max((i for i, u in rows if (u or "") == t and i is not None), default=None), t) for t in {t or "" for _, t in rows}}
+
+
+def test_batches_are_bounded_and_smaller_bounds_stay(spark):
+    from eventlake.llm import common
+
+    own, key = spark.newSession(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    common.small_batches(own)
+    assert own.conf.get(key) == str(common.BATCH_BYTES)
+    own.conf.set(key, "1000")
+    common.small_batches(own)
+    assert own.conf.get(key) == "1000"
+
+
+def test_tables_of_a_stage_can_be_cleared(spark):
+    from eventlake.llm import common
+
+    with common.tables_made() as made:
+        one = common.written(spark.range(3), "one")
+        common.written(one.selectExpr("id + 1 AS id"), "two")
+    common.written(spark.range(1), "three")
+    assert [df.count() for df in made] == [3, 3]
+    common.remove(made[0])
+    assert not os.path.exists(made[0].inputFiles()[0].removeprefix("file:"))
+    common.remove(made[0])  # again: nothing
