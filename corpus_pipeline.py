@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.llm import exact_dedup, near_dedup, packing, toxicity
-from eventlake.llm.common import table, written
+from eventlake.llm.common import remove, table, tables_made, written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages in a row, each one's documents written and read again; what a stage has read goes once its own documents are written."""
+    docs, spent = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with tables_made() as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+        for df in spent + made[:-1]:
+            remove(df)
+        spent = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
