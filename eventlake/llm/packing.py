@@ -307,7 +307,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
 
     Null and empty texts are one end id. Repeated rows are packed as often as they occur; null ids stay null.
     Every piece is placed once, offsets in a sequence run without gaps from 0, and no sequence exceeds the capacity.
-    An empty table gives no rows; other columns are ignored.
+    An empty table gives no rows; other columns are ignored. Ids are whole numbers, or text of whole numbers: they come out as such.
     """
     small_batches(docs.sparkSession)
     cut = written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces")
