@@ -1,7 +1,6 @@
 import itertools
 import re
 
-import pytest
 from corpus import EDGES, docs, prose
 
 from eventlake.llm import license_scan
@@ -39,23 +38,23 @@ def test_empty(spark):
     assert license_scan.digest(license_scan.scan(docs(spark, []))).count() == 0
 
 
-@pytest.mark.parametrize(
-    ("text", "labels", "score"),
-    [
-        ("SPDX-License-Identifier: GPL-2.0-only", "gpl", 1.0),
-        ("see http://www.apache.org/licenses/LICENSE-2.0", "apache", 1.0),
-        ("Released under the terms of the Mozilla Public License, version 2.0.", "mpl", 0.95),
-        ("GNU Lesser General Public License", "lgpl", 0.8),
-        ("GNU Affero General Public Licence v3", "agpl", 0.8),
-        ("This is released into the public domain", "public-domain", 0.8),
-        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc", 0.95),
-        ("my licence to drive", "", 0.0),
-        ("nothing here", "", 0.0),
-    ],
-)
-def test_labels(spark, text, labels, score):
-    r = license_scan.digest(license_scan.scan(docs(spark, [(1, text)]))).first()
-    assert (r.labels, r.score) == (labels, score)
+LABELLED = [
+    ("SPDX-License-Identifier: GPL-2.0-only", "gpl", 1.0),
+    ("see http://www.apache.org/licenses/LICENSE-2.0", "apache", 1.0),
+    ("Released under the terms of the Mozilla Public License, version 2.0.", "mpl", 0.95),
+    ("GNU Lesser General Public License", "lgpl", 0.8),
+    ("GNU Affero General Public Licence v3", "agpl", 0.8),
+    ("This is released into the public domain", "public-domain", 0.8),
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc", 0.95),
+    ("my licence to drive", "", 0.0),
+    ("nothing here", "", 0.0),
+]
+
+
+def test_labels(spark):
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.digest(license_scan.scan(docs(spark, [(i, text) for i, (text, _, _) in enumerate(LABELLED)]))).collect()}
+    for i, (text, labels, score) in enumerate(LABELLED):
+        assert got[i] == (labels, score), text
 
 
 def test_contained_detections_go(spark):
