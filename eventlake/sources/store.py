@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -107,6 +108,21 @@ class Store:
             else:
                 self.move(old, target)
 
+    def _replace_file(self, staged: str, target: str) -> bool:
+        """Puts a staged file in another's place in one step; False for folders, and in stores that have no such step."""
+        fs, p = self._at(staged)
+        if not fs.getFileStatus(p).isFile():
+            return False
+        jvm = self._jvm
+        options = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        try:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        except Py4JJavaError:  # no FileContext for this store
+            return False
+        context.rename(p, self._at(target)[1], options)
+        return True
+
     def publish(self, staged: str, target: str) -> None:
         """Puts the staged folder or file in the target's place; what stood there goes only when the new one stands.
 
@@ -114,12 +130,7 @@ class Store:
         hidden beside its place, where settled() finds it; after a crash there, the next run puts it back.
         """
         self.make_folder(target.rstrip("/").rpartition("/")[0])
-        fs, p = self._at(staged)
-        if fs.getFileStatus(p).isFile():
-            options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
-            options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
-            context.rename(p, self._at(target)[1], options)
+        if self._replace_file(staged, target):
             return
         self.recover(target)
         old = None
