@@ -1,9 +1,9 @@
 """Connected components of a link table that no machine needs to hold.
 
-Each partition first contracts its own links by union-find, which leaves stars; then alternating large-star and
-small-star steps hook every node to the smallest node near it until nothing changes. Minima are
-aggregated before the shuffle and joined from written tables, so a hub with a third of all links is split by
-adaptive execution.
+Each partition first contracts its own links by union-find, which leaves stars. If what is left is no more than one
+union-find holds, one more ends it. Else alternating large-star and small-star steps hook every node to the smallest
+node near it until nothing changes. Minima are aggregated before the shuffle and joined from written tables, so a hub
+with a third of all links is split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -60,9 +60,14 @@ def components(links: DataFrame) -> DataFrame:
     Links with a null end are ignored. No links give an empty table.
     """
     kind = links.schema["a"].dataType.simpleString()
-    now = written(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).mapInArrow(_contract, f"u {kind}, v {kind}").distinct(), "links")
+    contracted = lambda df: df.mapInArrow(_contract, f"u {kind}, v {kind}")
+    now = written(contracted(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))).distinct(), "links")
     seal = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
     before = seal(now)
+    if 0 < before[0] <= LINKS_AT_ONCE:
+        old, now = now, written(contracted(now.coalesce(1)), "links")
+        remove(old)
+        before = (0,)
     while before[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")

@@ -117,6 +117,18 @@ def test_components(spark):
     assert grouping.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("at_once", [10, 200_000])
+def test_components_of_few_links_take_no_rounds(spark, monkeypatch, at_once):
+    """A chain dealt over partitions: its links fit one union-find, or rounds of large and small stars end it; the result is the same."""
+    made, put = [], grouping.written
+    monkeypatch.setattr(grouping, "LINKS_AT_ONCE", at_once)
+    monkeypatch.setattr(grouping, "written", lambda df, name: made.append(name) or put(df, name))
+    links = [(i, i + 1) for i in range(1, 200)] + [(400 + i, 400) for i in range(1, 90)]
+    got = sorted(map(tuple, grouping.components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()))
+    assert got == [(i, 1) for i in range(2, 201)] + [(400 + i, 400) for i in range(1, 90)]
+    assert (len(made) > 2) == (at_once == 10)
+
+
 def test_parts_of_a_text_give_what_the_whole_gives(monkeypatch):
     texts = [prose(i, 200 * i) for i in range(6)] + ["", " \n", "one", "x" * 5000, "a\tb\x0bc\r\nd " * 300]
     whole = near_dedup.shingles(texts, 3)
