@@ -29,7 +29,7 @@ STEPS, FEW = 64, 3
 #: Pieces of one length that one task ranks: so many, or all divided by SHARES if that is more.
 RANKED_AT_ONCE, SHARES = 500, 200_000
 #: Words whose ids a worker keeps; beyond that it forgets the older half.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 #: Bytes of text that a worker splits into words together.
 TEXT_AT_ONCE = 3 << 20
 #: Words that one call of the tokenizer joins.
@@ -53,9 +53,22 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        suffix, names = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values(), default=0) + 1, bool) if suffix else None
+        if suffix:
+            self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
 
     def learn(self, words: list[str]) -> None:
         encode = lambda texts: [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.ends is not None:  # letters alone end in one such token at least, so as many as there are words need no mark between
+            letters = [w for w in words if w.isalpha()]
+            lots = [letters[i : i + WORDS_AT_ONCE] for i in range(0, len(letters), WORDS_AT_ONCE)]
+            for lot, ids in zip(lots, encode([" ".join(x) for x in lots]), strict=True):
+                cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+                if len(cuts) == len(lot) and cuts[-1] == 4 * len(ids):
+                    data = ids.tobytes()
+                    self.known.update(zip(lot, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+            words = [w for w in words if w not in self.known]
         plain = [w for w in words if self.MARK not in w] if self.mark is not None else []
         lots = [plain[i : i + WORDS_AT_ONCE] for i in range(0, len(plain), WORDS_AT_ONCE)]
         for lot, ids in zip(lots, encode([f" {self.MARK} ".join(x) for x in lots]), strict=True):
@@ -81,9 +94,10 @@ class WordIds:
         coded = split.flatten().dictionary_encode()
         parts = pa.chunked_array(self._parts(coded.dictionary)).combine_chunks().dictionary_encode()
         words, known = parts.dictionary.to_pylist(), self.known
-        if missing := [w for w in words if w not in known]:
+        found = list(map(known.get, words))
+        if missing := [w for w, x in zip(words, found, strict=True) if x is None]:
             self.learn(missing)
-        found = [known[w] for w in words]
+            found = [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
         if len(known) > CACHED_WORDS:
             for word in list(known)[: len(known) // 2]:
                 del known[word]

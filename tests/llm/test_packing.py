@@ -30,6 +30,28 @@ def test_word_ids_are_the_tokenizers(tokenizer):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_letters_are_learned_without_marks(tokenizer):
+    """Words of letters go to the tokenizer side by side; each gets the ids that it has alone, whatever its letters become."""
+
+    class Seen:
+        def __init__(self):
+            self.texts = []
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += texts
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    words, seen = packing.WordIds(PATH), Seen()
+    words.tokenizer = seen
+    words.learn(["once", "upon", "äöü", "ñandú", "слово", "漢字"])
+    assert seen.texts == ["once upon äöü ñandú слово 漢字"]
+    letters = [c for c in map(chr, range(0x20000)) if c.isalpha()]
+    some = [*letters[::3], *(f"a{c}b" for c in letters[1::3]), *(f"{c}s" for c in letters[2::3]), "\u0958\u0959", "e\u0301", "x\x00y", "don't", "a1", "", "<|endoftext|>"]
+    words.learn(some)
+    for word, alone in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+        assert np.frombuffer(words.known[word], "<u4").tolist() == alone.ids, word
+
+
 def check(rows, found, tokenizer, capacity):
     whole = defaultdict(list)
     for r in found:
