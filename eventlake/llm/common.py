@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable, Hashable, Iterator
@@ -133,9 +134,14 @@ def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished jobs that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner drop the shuffle files of finished jobs that nothing refers to any more.
+
+    Events of a job that listeners have yet to see refer to its plan, so it is looked for again a little later.
+    """
+    for wait in (0.5, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)
 
 
 def trim() -> None:

@@ -290,11 +290,12 @@ def _rare(path: str, frequent):
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    """Numbers of four bytes: all first bytes, then all second ones, and so on, since the high ones are much alike."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).reshape(-1).view(kind)
 
 
 def _heads(path: str, frequent, id_type: pa.DataType):

@@ -1,8 +1,10 @@
 import hashlib
 import math
 
+import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from corpus import EDGES, docs, prose
 
 from eventlake.llm import subwords
@@ -81,3 +83,11 @@ def test_units_of_any_length(spark, monkeypatch):
         monkeypatch.setattr(subwords, "UNIT", unit)
         both.append({r.doc_id: r.ids for r in subwords.encode(docs(spark, rows), PATH).collect()})
     assert both[0] == both[1]
+
+
+def test_numbers_pack_by_bytes():
+    """Word numbers of a slice come back as they were, and take a tenth less than their plain bytes would."""
+    numbers = np.minimum(np.random.default_rng(5).zipf(1.3, 200_000), 60_000).astype("<i4")
+    for some in (numbers, numbers[:0], np.array([-7, 0, 2**31 - 1, -(2**31)], "<i4")):
+        assert subwords._unpacked(subwords._packed(some), "<i4").tolist() == some.tolist()
+    assert len(subwords._packed(numbers)) < 0.9 * len(zstandard.ZstdCompressor(level=1).compress(numbers.tobytes()))
