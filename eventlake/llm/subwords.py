@@ -1,14 +1,15 @@
 """SentencePiece encoding and decoding over a piece table, as a relational lattice.
 
-Texts become units: runs of spaces with the word that follows, cut further wherever no piece has the two neighbouring characters, so
-that the best segmentation of a text is that of its units in a row. Distinct units are rows; their substrings of bounded length
-are exploded and equi-joined to the piece table, which leaves the lattice's edges; edges are grouped by unit, in the partitioning
-that counting the units made; and a higher-order fold over them, in order of their ends, keeps the best path (Viterbi). A unit of over UNIT
-characters (there are few: unspaced writing, long codes) would make the fold quadratic; the same recursion, with the same
-ties, streams over it instead, so no text is cut where a piece might reach over.
+Texts become words, runs of spaces with what follows, and words become units: cut further wherever no piece has the two neighbouring
+characters, so that the best segmentation of a text is that of its units in a row. The lattice of a slice's distinct words is a table:
+a row (unit, start) for each character is equi-joined, a character further each time, to the table of the pieces' prefixes; prefixes
+that are pieces leave the edges (unit, start, end, piece); edges are ordered by end and start, and a fold over them keeps the
+best path of every unit (Viterbi). All of it is done on columns, for all units of a lot at once, where the texts are: as the piece
+table is small and words are many, nothing has to be counted, sent or sorted between machines. A unit of over UNIT characters (there
+are few: unspaced writing, long codes) would be a fold of as many steps for itself; the same recursion, with the same ties, streams
+over it instead, so no text is cut where a piece might reach over.
 
-Back in the documents, the most frequent units, FREQUENT at most, travel as a broadcast. Documents are taken in slices of
-about TEXT_AT_ONCE bytes: a slice's other units are joined on the unit, and meet the slice, as word numbers, again by its number.
+A worker keeps the words that it has met, FREQUENT at most; past that, those of its last slice.
 
 A piece's log probability follows the rank that its score gives it (as 1 / (rank + 2.7)), where scores are mere merge ranks; scores
 of a unigram model are taken as they are. Characters without a piece become their UTF-8 bytes' pieces, so decoding is exact.
@@ -19,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,24 +28,96 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import most_frequent, per_process, release, remove, small_batches, trim, written
+from .common import per_process, small_batches, trim
 
-#: Characters of the longest unit whose lattice is a table's rows.
+#: Characters of the longest unit whose lattice is rows of a table.
 UNIT = 256
-#: Units that go to every executor; distinct words that a worker counts before it passes them on.
-FREQUENT, COUNTED_AT_ONCE = 131_072, 300_000
-#: Words whose ids a worker keeps; bytes of text in a slice.
-CACHED_WORDS, TEXT_AT_ONCE = 400_000, 4 << 20
-#: Units whose lattices one task solves.
-UNITS_AT_ONCE = 40_000
+#: Words whose ids a worker keeps from slice to slice.
+FREQUENT = 400_000
+#: Bytes of text in a slice; characters whose lattice is one table; documents in a batch of results.
+TEXT_AT_ONCE, CHARS_AT_ONCE, DOCS_AT_ONCE = 4 << 20, 1 << 18, 256
 
 _CHUNK = re.compile(r" +[^ ]*")
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+class Prefixes:
+    """The pieces' prefixes as a table to be joined to, a character at a time.
+
+    char has a small number for each code point, 0 for those of no piece. A prefix has a number, the empty one 0; with one more character c
+    it is the prefix of number base + c, if that one's parent it is, else none at all. Of a prefix that is a piece, piece has the
+    id (else -1) and score the score.
+    """
+
+    def __init__(self, pieces: list[tuple[str, int, float]]):
+        self.char = np.zeros(0x110000, np.uint16)
+        found = sorted({c for p, _, _ in pieces for c in p})
+        if len(found) > 0xFFFE:
+            raise ValueError(f"{len(found)} characters in the pieces")
+        for n, c in enumerate(found, 1):
+            self.char[ord(c)] = n
+        width = len(found) + 1
+        pairs: set[tuple[int, int]] = set()
+        below: dict[str, dict[int, str]] = {"": {}}
+        for text, _, _ in pieces:
+            codes = self.char[_codes(text)].tolist()
+            pairs.update(zip(codes, codes[1:], strict=False))
+            for i, c in enumerate(codes, 1):
+                below.setdefault(text[: i - 1], {})[c] = text[:i]
+        self.left, self.right = np.zeros(width, np.uint16), np.zeros(width, np.uint16)  # numbers among those that have a neighbour
+        for side, chars in ((self.left, {a for a, _ in pairs}), (self.right, {b for _, b in pairs})):
+            side[sorted(chars)] = np.arange(1, len(chars) + 1)
+        self.pairs = np.zeros((int(self.left.max()) + 1, int(self.right.max()) + 1), bool)
+        for a, b in pairs:
+            self.pairs[self.left[a], self.right[b]] = True
+        self._number(below, width)
+        self.piece, self.score = np.full(len(self.parent), -1, np.int32), np.zeros(len(self.parent))
+        for text, i, score in pieces:
+            self.piece[self.at[text]], self.score[self.at[text]] = i, score
+        del self.at
+
+    def cuts(self, codes: np.ndarray) -> np.ndarray:
+        """For each character but the first whether no piece has it after the one before."""
+        chars = self.char[codes]
+        return ~self.pairs[self.left[chars[:-1]], self.right[chars[1:]]]
+
+    def _number(self, below: dict[str, dict[int, str]], width: int) -> None:
+        """Prefixes with many children first: each takes the first place where all of its children's numbers are free."""
+        base, at = {}, {"": 0}
+        taken = np.zeros(4 * width + 2 * sum(map(len, below.values())), bool)
+        taken[:width] = True  # so that no base is negative
+        low, tries = width, 0
+        for text, children in sorted(below.items(), key=lambda x: -len(x[1])):
+            chars = np.array(sorted(children))
+            spot = low
+            while True:
+                if spot + width > len(taken):
+                    taken = np.concatenate([taken, np.zeros(len(taken), bool)])
+                spot += int(np.argmin(taken[spot:]))
+                if len(chars) == 1 or not taken[spot - chars[0] + chars].any():
+                    break
+                spot, tries = spot + 1, tries + 1
+            if len(chars) == 1:
+                low = spot
+            elif tries > 20:  # crowded up to here
+                low, tries = spot, 0
+            base[text] = spot - int(chars[0])
+            taken[base[text] + chars] = True
+            at.update((child, base[text] + c) for c, child in children.items())
+        size = max(at.values()) + width + 1
+        self.base, self.parent, self.at = np.zeros(size, np.int32), np.full(size, -1, np.int32), at
+        for text, children in below.items():
+            self.base[at[text]] = base[text]
+            for child in children.values():
+                self.parent[at[child]] = at[text]
+
+
 class Vocabulary:
     """Pieces as (text with plain spaces, id, score); byte ids; the character pairs that pieces have."""
 
@@ -72,23 +144,12 @@ class Vocabulary:
         self.pieces = [(p, i, -math.log((order[i] + 2.7) * total) if ranks else s) for p, i, s in normal]
         self.byte_score = min((s for _, _, s in self.pieces), default=0.0) - 1.0
         self.longest = max((len(p) for p, _, _ in normal), default=1)
-        self.pairs = {pair for p, _, _ in normal for pair in zip(p, p[1:], strict=False)}
+        self.prefixes = Prefixes(self.pieces)
 
     def units(self, chunk: str) -> list[str]:
-        """A chunk (spaces, then none) cut where no piece reaches over; letters alone aren't searched for such places."""
-        pairs, body = self.pairs, chunk[1:]
-        if chunk[:1] == " ":
-            if body.isalpha():
-                return [chunk]
-            if body[:-1].isalpha() and (body[-2], body[-1]) not in pairs:
-                return [chunk[:-1], body[-1]]
-        out, start = [], 0
-        for i, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1):
-            if pair not in pairs:
-                out.append(chunk[start:i])
-                start = i
-        out.append(chunk[start:])
-        return out
+        """A chunk (spaces, then none) cut where no piece reaches over."""
+        starts = [0, *(np.flatnonzero(self.prefixes.cuts(_codes(chunk))) + 1).tolist(), len(chunk)]
+        return [chunk[x:y] for x, y in zip(starts, starts[1:], strict=False)]
 
     def best(self, unit: str) -> list[int]:
         """ids of the best path of one unit; of equal ones the one that the fold over sorted edges keeps."""
@@ -131,19 +192,19 @@ def words(text: str) -> list[str]:
     return [c[1:] for c in _CHUNK.findall(f" {text}")] if "  " in f" {text}" else text.split(" ")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
-    """(number, ids, distinct words, numbers of the words as lists) of slices of a batch (row, id, text).
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array, pa.ListArray]]:
+    """(ids, distinct words, numbers of the words as lists) of slices of a batch (id, text).
 
-    Texts with other than single spaces are split apart from the rest. Numbers follow from rows, and so are the same each time.
+    Texts with other than single spaces are split apart from the rest.
     """
     trim()
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_AT_ONCE, side="right")))
         some = batch.slice(at, end - at)
         at = end
-        texts = pc.fill_null(some.column(2), "")
+        texts = pc.fill_null(some.column(1).cast(pa.string()), "")
         odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.match_substring(texts, "  "))
         for kind, mask in enumerate((pc.invert(odd), odd)):
             own = texts.filter(mask)
@@ -151,142 +212,165 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa
                 lists = pa.array([words(t) for t in own.to_pylist()], pa.list_(pa.string())) if kind else pc.split_pattern(own, " ")
                 coded = lists.flatten().dictionary_encode()
                 bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-                yield 2 * some.column(0)[0].as_py() + kind, some.column(1).filter(mask), coded.dictionary, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), coded.indices)
-
-
-def _counted(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = per_process(("subwords", path), lambda: Vocabulary(path)), Counter()
-
-        def out() -> pa.RecordBatch:
-            units: Counter = Counter()
-            for word, n in counts.items():
-                for unit in known.units(f" {word}"):
-                    units[unit] += n
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["unit", "n"])
-
-        for batch in batches:
-            for _, _, distinct, numbers in _slices(batch):
-                for word, n in zip(distinct.to_pylist(), np.bincount(numbers.flatten().to_numpy(), minlength=len(distinct)).tolist(), strict=True):
-                    counts[word] += n
-                if len(counts) > COUNTED_AT_ONCE:
-                    yield out()
-        if counts:
-            yield out()
-
-    return run
-
-
-def _piece_table(spark: SparkSession, known: Vocabulary) -> DataFrame:
-    return spark.createDataFrame(pd.DataFrame(known.pieces, columns=["piece", "id", "score"]), "piece string, id int, score double")
-
-
-def _byte_ids(char: Column, known: Vocabulary) -> Column:
-    table, code = F.array(*[F.lit(i) for i in known.bytes]), F.hex(F.encode(char, "utf-8"))
-    at = F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1)
-    return F.transform(at, lambda i: F.get(table, F.conv(F.substring(code, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
-
-
-def _best_path(edges: Column) -> Column:
-    """ids of the best path over edges (end, start, score, ids), by a fold in order of ends; every position has an edge that ends there.
-
-    The list holds, for each position reached so far, the best (score, start, ids of the last edge, position).
+                yield some.column(0).filter(mask), coded.dictionary, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), coded.indices)
+
+
+def _edges(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, ...]:
+    """Edges (start, length, id or -1 for bytes, score) of units that lie end to end in codes, longest first; begins and ends: each unit's."""
+    table, chars = known.prefixes, known.prefixes.char[codes]
+    limit = np.repeat(ends, ends - begins)  # of each character's unit
+    start, prefix, found = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), np.int32), []
+    for length in range(1, known.longest + 1):
+        more = table.base[prefix] + chars[start + (length - 1)]
+        kept = table.parent[more] == prefix
+        start, prefix = (start, more) if kept.all() else (start[kept], more[kept])
+        ids = table.piece[prefix]
+        whole = ids >= 0
+        at = start[whole]
+        found.append((at, np.full(len(at), length, np.int32), ids[whole], table.score[prefix[whole]]))
+        if length == 1:
+            bare = np.ones(len(codes), bool)
+            bare[at] = False
+            other = np.flatnonzero(bare).astype(np.int32)
+            size = 1 + (codes[other] > 0x7F).astype(np.int32) + (codes[other] > 0x7FF) + (codes[other] > 0xFFFF)
+            found.append((other, np.ones(len(other), np.int32), np.full(len(other), -1, np.int32), size * known.byte_score))
+        kept = start + length < limit[start]
+        start, prefix = start[kept], prefix[kept]
+        if not len(start):
+            break
+    return tuple(np.concatenate(x) for x in zip(*reversed(found), strict=True))
+
+
+def _paths(codes: np.ndarray, begins: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """ids of the best paths of units of one character or more, that lie end to end in codes, and how many each has.
+
+    Place i + k of the fold is the one before character i, of unit k: a unit has a place more than it has characters.
     """
+    ends = np.append(begins[1:], len(codes)).astype(np.int32)
+    unit = np.repeat(np.arange(len(begins), dtype=np.int32), ends - begins)
+    start, length, ids, scores = _edges(codes, begins, ends, known)
+    until = start - begins[unit[start]] + length
+    order = np.argsort(until.astype(np.uint16) if until.max() < 1 << 16 else until, kind="stable")  # of equal ends, the first start is first
+    start, length, ids, scores, until = start[order], length[order], ids[order], scores[order], until[order]
+    source = start + unit[start]
+    target = source + length
+    best, last = np.full(len(codes) + len(begins), -np.inf), np.empty(len(codes) + len(begins), np.int32)
+    first = begins + np.arange(len(begins), dtype=np.int32)
+    best[first] = 0.0
+    steps = [0, *(np.flatnonzero((np.diff(until) != 0) | (np.diff(length) != 0)) + 1).tolist(), len(start)]
+    for a, b in zip(steps, steps[1:], strict=False):  # edges of one end and length: one a unit
+        to, score = target[a:b], best[source[a:b]] + scores[a:b]
+        better = np.flatnonzero(score > best[to])
+        best[to[better]], last[to[better]] = score[better], better + a
+    on_path, at, stop = np.zeros(len(best), bool), ends + np.arange(len(begins), dtype=np.int32), first
+    while len(at):
+        on_path[at] = True
+        at = source[last[at]]
+        more = at > stop
+        at, stop = at[more], stop[more]
+    edges = last[on_path]
+    ids, of = ids[edges], unit[start[edges]]
+    in_bytes = ids < 0
+    if in_bytes.any():
+        bare = codes[start[edges[in_bytes]]]
+        size = np.ones(len(ids), np.int32)
+        size[in_bytes] += (bare > 0x7F).astype(np.int32) + (bare > 0x7FF) + (bare > 0xFFFF)
+        data = bare.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        ids, of, in_bytes = np.repeat(ids, size), np.repeat(of, size), np.repeat(in_bytes, size)
+        ids[in_bytes] = np.array(known.bytes, np.int32)[np.frombuffer(data, np.uint8)]
+    return ids, np.bincount(of, minlength=len(begins)).astype(np.int32)
+
+
+def _solved(texts: pa.Array, known: Vocabulary, cut: bool) -> pa.ListArray:
+    """ids of texts of one character or more; cut: into units, else each is one. However long a text is, a lot of units is bounded."""
+    if not len(texts):
+        return pa.array([], pa.list_(pa.int32()))
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset :]
+    codes = _codes(bytes(memoryview(texts.buffers()[2])[offsets[0] : offsets[len(texts)]]).decode())
+    sizes = pc.utf8_length(texts).to_numpy().astype(np.int64)
+    heads = np.cumsum(sizes) - sizes
+    new = np.zeros(len(codes), bool)
+    if cut:
+        new[1:] = known.prefixes.cuts(codes)
+    new[heads] = True
+    bounds, values, counts, a = np.append(np.flatnonzero(new), len(codes)), [], [], 0
+    while a < len(bounds) - 1:
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + CHARS_AT_ONCE, side="right")) - 1)
+        own, begins = codes[bounds[a] : bounds[b]], (bounds[a:b] - bounds[a]).astype(np.int32)
+        long = np.diff(bounds[a : b + 1]) > UNIT
+        ids, each = _mixed(own, begins, long, known) if long.any() else _paths(own, begins, known)
+        values.append(ids)
+        counts.append(each)
+        a = b
+    each = np.add.reduceat(np.concatenate(counts).astype(np.int64), np.searchsorted(bounds, heads))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(each)), pa.int32()), pa.array(np.concatenate(values), pa.int32()))
 
-    def step(best: Column, e: Column) -> Column:
-        score = F.get(best, e["start"])["score"] + e["score"]
-        new = F.struct(score.alias("score"), e["start"].alias("start"), e["ids"].alias("ids"))
-        old = F.element_at(best, -1)
-        grown = F.concat(best, F.array(new))
-        kept = F.when(score > old["score"], F.concat(F.slice(best, 1, F.size(best) - 1), F.array(new))).otherwise(best)
-        return F.when(F.size(best) <= e["end"], grown).otherwise(kept)
 
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.array().cast("array<int>").alias("ids")))
+def _lists(sizes: np.ndarray, values: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists laid end to end in values: those chosen, end to end, and their sizes."""
+    starts, each = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
+    ends = np.cumsum(each)
+    return values[np.repeat(starts - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)], each
 
-    def back(best: Column) -> Column:
-        def walk(acc: Column, _: Column) -> Column:
-            here = F.get(best, acc["at"])
-            return F.when(acc["at"] > 0, F.struct(here["start"].alias("at"), F.concat(here["ids"], acc["ids"]).alias("ids"))).otherwise(acc)
 
-        start = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
-        return F.aggregate(best, start, walk, lambda acc: acc["ids"])
+def _mixed(codes: np.ndarray, begins: np.ndarray, long: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """As _paths(), where some units are long."""
+    ends = np.append(begins[1:], len(codes))
+    short = ~np.repeat(long, ends - begins)
+    sizes = (ends - begins)[~long]
+    ids, each = _paths(codes[short], (np.cumsum(sizes) - sizes).astype(np.int32), known) if len(sizes) else (np.zeros(0, np.int32), np.zeros(0, np.int32))
+    streamed = [np.array(known.best(codes[x:y].tobytes().decode("utf-32-le", "surrogatepass")), np.int32) for x, y in zip(begins[long], ends[long], strict=True)]
+    lists, counts = np.concatenate([ids, *streamed]), np.concatenate([each, [len(x) for x in streamed]]).astype(np.int64)
+    place = np.empty(len(begins), np.int64)
+    place[~long], place[long] = np.arange(len(each)), len(each) + np.arange(len(streamed))
+    return _lists(counts, lists, place)
 
-    return F.aggregate(F.sort_array(edges), begin, step, back)
 
+def encode_units(counted: DataFrame, known: Vocabulary, path: str) -> DataFrame:
+    """(unit, n), units of one character or more -> (unit, n, ids)."""
 
-def _streamed(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = per_process(("subwords", path), lambda: Vocabulary(path))
+        own = _known(path).known
         for batch in batches:
-            for i in range(batch.num_rows):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([known.best(batch.column(0)[i].as_py())], pa.list_(pa.int32()))], names=["unit", "n", "ids"])
-
-    return run
-
-
-def encode_units(counted: DataFrame, known: Vocabulary, path: str) -> DataFrame:
-    """(unit, n) with distinct units, best partitioned by them -> (unit, n, ids)."""
-    long = counted.where(F.length("unit") > UNIT).mapInArrow(_streamed(path), "unit string, n long, ids array<int>")
-    return _lattices(counted.where(F.length("unit") <= UNIT), known).union(long)
+            units = batch.column(0).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([units, batch.column(1), _solved(units, own, cut=False)], names=["unit", "n", "ids"])
 
-
-def _lattices(counted: DataFrame, known: Vocabulary) -> DataFrame:
-    pieces = F.broadcast(_piece_table(counted.sparkSession, known))  # as many rows as the vocabulary has pieces
-    starts = counted.select("unit", "n", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
-    spans = starts.select("unit", "n", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("unit"), F.col("start") + known.longest))).alias("end"))
-    cut = spans.select("unit", "n", "start", "end", F.substring(F.col("unit"), F.col("start") + 1, F.col("end") - F.col("start")).alias("sub"))
-    joined = cut.join(pieces, F.col("sub") == F.col("piece"), "left").where(F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1))
-    in_bytes = F.length(F.encode("sub", "utf-8")) * known.byte_score
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(F.col("sub"), known))
-    edge = F.struct("end", "start", F.coalesce("score", in_bytes).alias("score"), ids.alias("ids"))
-    grouped = joined.select("unit", "n", edge.alias("edge")).groupBy("unit", "n").agg(F.collect_list("edge").alias("edges"))
-    return grouped.select("unit", "n", _best_path(F.col("edges")).alias("ids"))
+    return counted.select("unit", "n").mapInArrow(run, "unit string, n long, ids array<int>")
 
 
 class _Known:
-    """Distinct words -> ids as bytes, with -1, -2, ... for units that aren't frequent, by their places in a slice."""
-
-    def __init__(self, known: Vocabulary, frequent: dict[str, bytes]):
-        self.known, self.frequent, self.cache = known, frequent, {}
-
-    def ids(self, distinct: list[str]) -> tuple[list[bytes], list[str]]:
-        cache, rare, out = self.cache, {}, []
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        for word in distinct:
-            found = cache.get(word)
-            if found is None:
-                parts, whole = [], True
-                for unit in self.known.units(f" {word}"):
-                    part = self.frequent.get(unit)
-                    if part is None:
-                        whole = False
-                        part = int(-1 - rare.setdefault(unit, len(rare))).to_bytes(4, "little", signed=True)
-                    parts.append(part)
-                found = b"".join(parts)
-                if whole:
-                    cache[word] = found
-            out.append(found)
-        return out, list(rare)
-
-
-def _known(path: str, frequent) -> _Known:
-    """One for each worker and broadcast."""
-    return per_process(("subwords", path, id(frequent.value)), lambda: _Known(Vocabulary(path), frequent.value))
-
-
-def _rare(path: str, frequent):
-    """The units of each slice that aren't frequent, with their places: (slice, place, unit)."""
+    """Words -> ids, kept from slice to slice."""
+
+    def __init__(self, known: Vocabulary):
+        self.known, self.words, self.ids = known, pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
+        self.pieces = pa.array(known.text, pa.binary())
+
+    def of(self, distinct: pa.Array) -> pa.ListArray:
+        at = pc.index_in(distinct, self.words)
+        new = distinct.filter(at.is_null())
+        solved = _solved(pc.binary_join_element_wise(" ", new, ""), self.known, cut=True)
+        words, ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, solved])
+        place = at.fill_null(-1).to_numpy().copy()
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        found = ids.take(pa.array(place))
+        self.words, self.ids = (words, ids) if len(words) <= FREQUENT else (distinct, found) if len(distinct) <= FREQUENT else (words[:0], ids[:0])
+        return found
+
+    def digests(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """SHA-256 of what each list of ids decodes to; bounds: where lists begin and end."""
+        texts = self.pieces.take(pa.array(ids))
+        at = np.frombuffer(texts.buffers()[1], np.int32)[bounds].tolist()
+        data = memoryview(texts.buffers()[2] or b"")
+        out = []
+        for x, y in zip(at, at[1:], strict=False):
+            text = bytes(data[x:y]).decode("utf-8", "replace")
+            out.append(hashlib.sha256(text[1:].encode()).hexdigest())
+        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known(path, frequent)
-        for batch in batches:
-            for number, _, distinct, _ in _slices(batch):
-                units = known.ids(distinct.to_pylist())[1]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(units), number)), pa.array(np.arange(len(units), dtype=np.int32)), pa.array(units, pa.string())], names=["slice", "place", "unit"])
 
-    return run
+def _known(path: str) -> _Known:
+    """One for each worker."""
+    return per_process(("subwords", path, UNIT, FREQUENT, CHARS_AT_ONCE), lambda: _Known(Vocabulary(path)))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -298,73 +382,24 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).reshape(-1).view(kind)
 
 
-def _heads(path: str, frequent, id_type: pa.DataType):
-    """Each slice as one row with place -1: its documents' ids, how many words each has, the words' numbers, and the ids of each distinct word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known(path, frequent)
-        for batch in batches:
-            for number, ids, distinct, numbers in _slices(batch):
-                found = known.ids(distinct.to_pylist())[0]
-                sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
-                parts = [_packed(x) for x in (np.diff(numbers.offsets.to_numpy()).astype("<i4"), numbers.values.to_numpy().astype("<i4"), sizes.astype("<i4"), np.frombuffer(b"".join(found), "<i4"))]
-                row = [pa.array([number]), pa.array([-1], pa.int32()), pa.array([ids.to_pylist()], pa.list_(id_type)), *[pa.array([x], pa.binary()) for x in parts]]
-                yield pa.RecordBatch.from_arrays(row, names=["slice", "place", "docs", "counts", "numbers", "sizes", "table"])
-
-    return run
-
-
-def _lists(sizes: np.ndarray, values: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of lists laid end to end in values: those chosen, end to end, and their sizes."""
-    starts, each = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
-    ends = np.cumsum(each)
-    return values[np.repeat(starts - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)], each
-
-
-def _filled(id_type: pa.DataType, digest_of: str | None = None):
-    """Rows of slices, each slice's own row before those of its rare units -> (doc_id, ids), and the digest of the decoded ids if asked."""
-
-    def documents(head: dict, sizes: list[np.ndarray], values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        counts, numbers, lengths, table = (_unpacked(head[k], "<i4") for k in ("counts", "numbers", "sizes", "table"))
-        if sizes:  # ids and places of the distinct words' table become lists: an id itself, or its unit's ids
-            own, rare = np.concatenate(sizes), np.concatenate(values)
-            missing = table < 0
-            all_sizes = np.concatenate([np.ones(int((~missing).sum()), np.int64), own])
-            place = np.empty(len(table), np.int64)
-            place[~missing] = np.arange(int((~missing).sum()))
-            place[missing] = int((~missing).sum()) - 1 - table[missing].astype(np.int64)
-            new, each = _lists(all_sizes, np.concatenate([table[~missing], rare]), place)
-            ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(lengths)])]
-            table, lengths = new, np.diff(ends)
-        ids, each = _lists(lengths.astype(np.int64), table, numbers)
-        bounds = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts)])]
-        known = per_process(("subwords", digest_of), lambda: Vocabulary(digest_of)) if digest_of else None
-        for i in range(0, len(counts), 256):
-            own = bounds[i : i + 257]
-            lists = pa.ListArray.from_arrays(pa.array(own - own[0], pa.int32()), pa.array(ids[own[0] : own[-1]].astype(np.int32)))
-            columns = [pa.array(head["docs"][i : i + 256], id_type), lists]
-            if known:
-                columns.append(pa.array([hashlib.sha256(known.decode(ids[x:y].tolist()).encode("utf-8", "surrogatepass")).hexdigest() for x, y in zip(own[:-1], own[1:], strict=True)], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded_sha256"][: len(columns)])
+def _encoded(path: str, digest: bool):
+    """Documents (id, text) -> (doc_id, ids), and the digest of the decoded ids if asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, sizes, values = None, [], []
+        known = _known(path)
         for batch in batches:
-            place, lists = batch.column(1).to_numpy(), batch.column(7)
-            heads = np.flatnonzero(place < 0).tolist()
-            for a, b in zip([0, *heads], [*heads, batch.num_rows], strict=True):
-                if a < b and place[a] < 0:
-                    head = batch.slice(a, 1).to_pylist()[0]
-                    a += 1
-                if a < b:
-                    own = lists.slice(a, b - a)
-                    sizes.append(pc.list_value_length(own).to_numpy().astype(np.int64))
-                    values.append(own.flatten().to_numpy())
-                if b < batch.num_rows and head is not None:
-                    yield from documents(head, sizes, values)
-                    head, sizes, values = None, [], []
-        if head is not None:
-            yield from documents(head, sizes, values)
+            for docs, distinct, numbers in _slices(batch):
+                found = known.of(distinct)
+                for i in range(0, len(docs), DOCS_AT_ONCE):
+                    some = numbers.slice(i, DOCS_AT_ONCE)
+                    lists = found.take(some.flatten())
+                    at = some.offsets.to_numpy()
+                    bounds = (lists.offsets.to_numpy() - lists.offsets[0].as_py())[at - at[0]]
+                    ids = lists.flatten()
+                    columns = [docs.slice(i, DOCS_AT_ONCE), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), ids)]
+                    if digest:
+                        columns.append(pa.array(known.digests(ids.to_numpy(), bounds), pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded_sha256"][: len(columns)])
 
     return run
 
@@ -374,31 +409,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     With digest, also decoded_sha256, of what the ids decode to. Repeated rows give repeated rows; an empty table none; other columns are ignored. decode() gives the text back.
     """
-    spark, known = docs.sparkSession, vocabulary(path)
-    small_batches(spark)
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind, id_type = source.schema["doc_id"].dataType.simpleString(), to_arrow_type(source.schema["doc_id"].dataType)
-    counted = written(source.mapInArrow(_counted(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "counted")
-    release(spark)
-    parts = max(1, -(-counted.count() // UNITS_AT_ONCE))
-    solved = written(encode_units(counted.repartition(parts, "unit"), known, path), "units")
-    remove(counted)
-    release(spark)
-    top = most_frequent(solved, "n", FREQUENT).collect()
-    frequent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in top})
-    del top
-
-    rare = source.mapInArrow(_rare(path, frequent), "slice long, place int, unit string")
-    placed = written(rare.join(solved.select("unit", "ids"), "unit").select("slice", "place", "ids"), "placed")
-    del rare
-    remove(solved)
-    release(spark)
-    parts = ("counts", "numbers", "sizes", "table")
-    heads = source.mapInArrow(_heads(path, frequent, id_type), f"slice long, place int, docs array<{kind}>, " + ", ".join(f"{p} binary" for p in parts))
-    none = [F.lit(None).cast("binary").alias(p) for p in parts]
-    both = heads.withColumn("ids", F.lit(None).cast("array<int>")).union(placed.select("slice", "place", F.lit(None).cast(f"array<{kind}>").alias("docs"), *none, "ids"))
-    whole = both.repartition("slice").sortWithinPartitions("slice", "place").mapInArrow(_filled(id_type, path if digest else None), f"doc_id {kind}, ids array<int>" + ", decoded_sha256 string" * digest)
-    return whole.withColumnRenamed("doc_id", id_col)
+    small_batches(docs.sparkSession)
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(_encoded(path, digest), f"doc_id {kind}, ids array<int>" + ", decoded_sha256 string" * digest).withColumnRenamed("doc_id", id_col)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -406,7 +420,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.pandas_udf("string")
     def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = per_process(("subwords", path), lambda: Vocabulary(path))
+        known = _known(path).known
         for part in parts:
             yield part.map(known.decode)
 

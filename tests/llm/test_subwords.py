@@ -7,7 +7,7 @@ import pytest
 import zstandard
 from corpus import EDGES, docs, prose
 
-from eventlake.llm import subwords
+from eventlake.llm import common, subwords
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["a  b\nc", " lead", "trail ", "  ", "\t x ▁ y", "é ﬁ ½ 😀 日本語テキスト", "Hello, world! (foo) ab.cd", "\x00\x7f", " \n \n", "the the   the", "representatives addEventListener ................"]
@@ -91,3 +91,35 @@ def test_numbers_pack_by_bytes():
     for some in (numbers, numbers[:0], np.array([-7, 0, 2**31 - 1, -(2**31)], "<i4")):
         assert subwords._unpacked(subwords._packed(some), "<i4").tolist() == some.tolist()
     assert len(subwords._packed(numbers)) < 0.9 * len(zstandard.ZstdCompressor(level=1).compress(numbers.tobytes()))
+
+
+def test_one_pass_over_the_documents(spark):
+    """Nothing is counted, sent or written between the documents and their ids."""
+    with common.tables_made() as made:
+        df = subwords.round_trip(docs(spark, [(1, "Hello world")]), PATH)
+    assert not made
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefixes_are_the_pieces():
+    """The join finds each prefix of a piece, the piece at its end, and nothing else."""
+    known = subwords.vocabulary(PATH)
+    table, names = known.prefixes, {int(known.prefixes.char[x]): chr(x) for x in np.flatnonzero(known.prefixes.char)}
+    found, rows, chars = {}, [("", 0)], np.arange(len(table.left))
+    while rows:
+        text, number = rows.pop()
+        found[text] = number
+        more = table.base[number] + chars
+        rows += [(text + names[c], int(more[c])) for c in np.flatnonzero(table.parent[more] == number).tolist()]
+    assert set(found) == {p[:i] for p, _, _ in known.pieces for i in range(len(p) + 1)}
+    assert {(p, int(table.piece[n]), float(table.score[n])) for p, n in found.items() if table.piece[n] >= 0} == set(known.pieces)
+
+
+@pytest.mark.parametrize("chars, unit, frequent", [(1, 256, 400_000), (7, 3, 5), (1 << 18, 4, 400_000), (1 << 18, 256, 0)])
+def test_lots_and_kept_words_change_nothing(spark, monkeypatch, chars, unit, frequent):
+    known = subwords.vocabulary(PATH)
+    for name, value in (("CHARS_AT_ONCE", chars), ("UNIT", unit), ("FREQUENT", frequent), ("TEXT_AT_ONCE", 40), ("DOCS_AT_ONCE", 2)):
+        monkeypatch.setattr(subwords, name, value)
+    texts = TEXTS + [prose(i, 8) for i in range(4)] + ["日本語 x," * 3, "e" * 40, "", "😀" * 9, *TEXTS]
+    got = {r.doc_id: r.ids for r in subwords.encode(docs(spark, list(enumerate(texts))), PATH).collect()}
+    assert got == {i: [x for w in subwords.words(t) for u in known.units(f" {w}") for x in known.best(u)] for i, t in enumerate(texts)}
